@@ -401,14 +401,13 @@ ON coalesce(c.promotion_code, 'NA') = p.promotion_code AND c.country = p.country
     ),
     "sales_fact": _with(
         STAR,
-        f"""SELECT row_number() OVER (ORDER BY sales_order_key, customer_id_pk) AS order_id_pk,
-  {FACT_OUT} FROM fact_by_name""",
+        f"SELECT {FACT_OUT} FROM fact_by_name",
     ),
     "sales_fact_grain_safe": _with(
         STAR,
-        f"""SELECT row_number() OVER (ORDER BY sales_order_key, customer_id_pk) AS order_id_pk,
-  {FACT_OUT} FROM fact""",
+        f"SELECT {FACT_OUT} FROM fact",
     ),
+    "fact_keys": _with(STAR, "SELECT count(*) AS n_rows, count(*) AS n_keys FROM fact_by_name"),
     "fact_new_rows": _with(STAR, f"SELECT {KEY}, {FACT_OUT} FROM fact WHERE country <> 'India'"),
     "scd2_customer": _with(
         HISTORY,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.checks.present import present
-from salesmart.config import CURATED_COLUMNS, FRANCE, INDIA, USA
+from salesmart.config import CURATED_COLUMNS, FACT_COLUMNS, FRANCE, INDIA, USA
 from salesmart.functions.casts import json_field, to_number, typed
 from salesmart.functions.columns import default_column, or_default, resolve_columns
 from salesmart.functions.dates import order_period
@@ -22,7 +22,7 @@ from salesmart.operators.dedup import (
     latest_per_key,
 )
 from salesmart.operators.filters import settled, where_equal, with_market
-from salesmart.operators.keys import number_by_range, number_small
+from salesmart.operators.keys import next_key, number_by_range, number_once, number_small
 from salesmart.operators.rates import rates_for, with_rate
 from salesmart.operators.sets import union_all, union_distinct
 from salesmart.operators.sinks import append_or_recreate, append_rows, replace_rows
@@ -40,7 +40,7 @@ from salesmart.sources.testdata import (
     write_landing,
     write_rates,
 )
-from salesmart.staging import scratch_path, stage
+from salesmart.staging import scratch_path, side_by_side, stage
 from salesmart.streaming.incremental import load_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,7 +81,9 @@ def source_layer(spark, sf_dir):
 
 
 def curated_frames(spark, sf_dir):
-    source, rates = source_layer(spark, sf_dir), rate_table(spark, sf_dir)
+    source, rates = side_by_side(
+        lambda: source_layer(spark, sf_dir), lambda: rate_table(spark, sf_dir)
+    )
     return {c.code: curate(source(c), c, rates) for c in (INDIA, USA, FRANCE)}
 
 
@@ -318,7 +320,9 @@ def enrich_country(spark, sf_dir):
 @query
 def conform_sales(spark, sf_dir):
     """All rows of the three sources in one layout, whatever their status."""
-    source, rates = source_layer(spark, sf_dir), rate_table(spark, sf_dir)
+    source, rates = side_by_side(
+        lambda: source_layer(spark, sf_dir), lambda: rate_table(spark, sf_dir)
+    )
     frames = []
     for c in (INDIA, USA, FRANCE):
         rows = with_market(source(c), c)
@@ -459,14 +463,31 @@ def join_region(spark, sf_dir):
 
 @query
 def sales_fact(spark, sf_dir):
+    """The fact but for its drawn keys, which ``fact_keys`` checks."""
     sales = curated_sales(spark, sf_dir)
-    return fact.sales_fact(sales, fact.star_of(sales))
+    return fact.sales_fact(sales, fact.star_of(sales)).drop("order_id_pk")
 
 
 @query
 def sales_fact_grain_safe(spark, sf_dir):
     sales = curated_sales(spark, sf_dir)
-    return fact.sales_fact(sales, fact.star_of(sales), grain_safe=True)
+    rows = fact.sales_fact(sales, fact.star_of(sales), grain_safe=True)
+    return rows.drop("order_id_pk")
+
+
+@query
+def fact_keys(spark, sf_dir):
+    """Two loads of the fact, of India and of the rest: every row has a key of its own."""
+    sales = curated_sales(spark, sf_dir)
+    star = fact.star_of(sales)
+    path = scratch_path(spark, "fact")
+    append_rows(fact.sales_fact(india_only(sales), star), path)
+    later = fact.fact_projection(fact.star_join(sales.where("Country <> 'India'"), star))
+    start = next_key(spark.read.parquet(path), "order_id_pk")
+    append_rows(number_once(later, "order_id_pk", start).select(*FACT_COLUMNS), path)
+    return spark.read.parquet(path).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("order_id_pk").alias("n_keys")
+    )
 
 
 @query

@@ -7,12 +7,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.staging import stage
+
 
 def not_yet_in(
     new: DataFrame,
     existing: DataFrame,
     keys: Sequence[str] | Mapping[str, str],
     null_safe: bool = False,
+    repeated: bool = False,
 ) -> DataFrame:
     """Rows of ``new`` whose key tuple does not occur in ``existing``.
 
@@ -21,12 +24,16 @@ def not_yet_in(
     new every time; ``null_safe`` lets NULL match NULL.
 
     The existing tuples are made distinct first: copies of one tuple are combined before the
-    shuffle, and the join reuses that shuffle.
+    shuffle, and the join reuses that shuffle. Set ``repeated`` if tuples of ``new`` may occur
+    very often: the existing ones are then written, and the join is one whose skewed partitions
+    adaptive execution can split.
     """
     pairs = keys if isinstance(keys, Mapping) else {k: k for k in keys}
     known = existing.select(
         *[F.col(f"`{theirs}`").alias(f"_known_{i}") for i, theirs in enumerate(pairs.values())]
     ).distinct()
+    if repeated:
+        known = stage(known, "known")
     conditions = []
     for i, ours in enumerate(pairs):
         left, right = F.col(f"`{ours}`"), F.col(f"_known_{i}")

@@ -1,4 +1,8 @@
-"""Surrogate keys: dense numbers in a stated order, drawn once and written."""
+"""Surrogate keys.
+
+Dimensions get dense keys in a stated order, so the same members get the same keys in every
+run. The fact, by far the largest table, gets unique keys that cost nothing to draw.
+"""
 
 from __future__ import annotations
 
@@ -62,6 +66,17 @@ def number_by_range(
     return numbered.select(key, *df.columns)
 
 
+def number_once(df: DataFrame, key: str, start: int = 1) -> DataFrame:
+    """Unique keys from ``start`` up, with gaps, for a frame that is written right away.
+
+    Nothing is moved, sorted or written for it: the key is the number of the task and the row
+    position within it. The keys differ from run to run, so write the result, once.
+    """
+    return df.withColumn(key, F.monotonically_increasing_id() + F.lit(start)).select(
+        key, *df.columns
+    )
+
+
 def number_small(
     df: DataFrame, order_by: Sequence[str], key: str, start: int = 1
 ) -> DataFrame:

@@ -13,6 +13,7 @@ from salesmart.operators.filters import settled, with_market
 from salesmart.operators.rates import with_rate
 from salesmart.operators.sets import union_distinct
 from salesmart.sources.warehouse import Warehouse
+from salesmart.staging import side_by_side
 
 
 def conform(sales: DataFrame, country: Country) -> DataFrame:
@@ -55,11 +56,14 @@ def curate_warehouse(warehouse: Warehouse) -> None:
     """Refresh the curated table of every source in full."""
     warehouse.require("source", *[f"{c.code.lower()}_sales_order" for c in COUNTRIES])
     rates = warehouse.read("common", "exchange_rate")
-    for country in COUNTRIES:
+
+    def refresh(country: Country) -> None:
         name = f"{country.code.lower()}_sales_order"
         curated = curate(warehouse.read("source", name), country, rates)
         warehouse.replace("curated", name, curated)
 
+    side_by_side(*[lambda c=c: refresh(c) for c in COUNTRIES])
+
 
 def all_sales(warehouse: Warehouse) -> DataFrame:
     """The curated tables of all sources together, each distinct row once."""

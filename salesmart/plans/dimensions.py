@@ -15,7 +15,7 @@ from salesmart.operators.calendar import calendar
 from salesmart.operators.keys import next_key, number_by_range, number_small
 from salesmart.operators.sinks import append_or_recreate
 from salesmart.sources.warehouse import Warehouse
-from salesmart.staging import stage
+from salesmart.staging import side_by_side, stage
 
 
 @dataclass(frozen=True)
@@ -122,12 +122,18 @@ def date_rows(sales: DataFrame, existing: DataFrame | None = None) -> DataFrame:
 def load_dimensions(warehouse: Warehouse, sales: DataFrame, null_safe: bool = False) -> None:
     """Add what is new to all dimensions; a second run over the same sales adds nothing.
 
-    New rows are written before they are appended, so every plan runs once.
+    New rows are written before they are appended, so every plan runs once. The dimensions do
+    not depend on each other and are loaded at the same time.
     """
-    new_days = stage(date_rows(sales, warehouse.find("consumption", DATE_TABLE)), "days")
-    warehouse.append("consumption", DATE_TABLE, new_days)
-    for dimension in DIMENSIONS:
+
+    def load_days() -> None:
+        rows = stage(date_rows(sales, warehouse.find("consumption", DATE_TABLE)), DATE_TABLE)
+        warehouse.append("consumption", DATE_TABLE, rows)
+
+    def load(dimension: Dimension) -> None:
         existing = warehouse.find("consumption", dimension.table)
         rows = stage(dimension_rows(sales, dimension, existing, null_safe), dimension.table)
         path = warehouse.path("consumption", dimension.table)
         append_or_recreate(rows, path, dimension.identity)
+
+    side_by_side(load_days, *[lambda d=d: load(d) for d in DIMENSIONS])

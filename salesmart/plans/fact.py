@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from salesmart.config import FACT_COLUMNS
 from salesmart.functions.columns import resolve_columns, with_promotion
 from salesmart.operators.anti import not_yet_in
-from salesmart.operators.keys import next_key, number_by_range
+from salesmart.operators.keys import next_key, number_once
 from salesmart.plans.dimensions import (
     CUSTOMER,
     DATE_KEY,
@@ -24,7 +23,7 @@ from salesmart.plans.dimensions import (
     dimension_rows,
 )
 from salesmart.sources.warehouse import Warehouse
-from salesmart.staging import stage
+from salesmart.staging import side_by_side, stage
 
 # ---- Fixed values: the columns on which sales meet each dimension ----
 JOIN_COLUMNS = {
@@ -64,17 +63,15 @@ def read_star(warehouse: Warehouse) -> Star:
 
 
 def star_of(sales: DataFrame) -> Star:
-    """The dimensions of the given sales alone, each written once. Pass a table scan."""
-    rows = {d.table: stage(dimension_rows(sales, d), d.table) for d in
-            (REGION, PRODUCT, PROMOTION, CUSTOMER, PAYMENT)}
-    return Star(
-        date=stage(date_rows(sales), DATE_TABLE),
-        region=rows[REGION.table],
-        product=rows[PRODUCT.table],
-        promotion=rows[PROMOTION.table],
-        customer=rows[CUSTOMER.table],
-        payment=rows[PAYMENT.table],
+    """The dimensions of the given sales alone, as tables. Pass a table scan."""
+    days, *rows = side_by_side(
+        lambda: stage(date_rows(sales), DATE_TABLE),
+        *[
+            lambda d=d: stage(dimension_rows(sales, d), d.table)
+            for d in (REGION, PRODUCT, PROMOTION, CUSTOMER, PAYMENT)
+        ],
     )
+    return Star(days, *rows)
 
 
 def join_dimension(
@@ -133,21 +130,15 @@ def fact_projection(joined: DataFrame) -> DataFrame:
     )
 
 
-def with_fact_key(rows: DataFrame, start: int = 1) -> DataFrame:
-    """Number the fact rows by order line and customer, which no two of them share."""
-    return number_by_range(rows, [ORDER_LINE, "customer_id_fk"], "order_id_pk", start).select(
-        *FACT_COLUMNS
-    )
-
-
 def sales_fact(sales: DataFrame, star: Star, grain_safe: bool = False) -> DataFrame:
-    """The fact rows of the given sales, numbered from 1."""
-    return with_fact_key(fact_projection(star_join(sales, star, grain_safe)))
+    """The fact rows of the given sales. Their keys are drawn when the result is written."""
+    rows = fact_projection(star_join(sales, star, grain_safe))
+    return number_once(rows, "order_id_pk").select(*FACT_COLUMNS)
 
 
 def new_fact_rows(rows: DataFrame, existing: DataFrame) -> DataFrame:
     """Fact rows whose order code and dimension keys are not in the fact yet."""
-    return not_yet_in(rows, existing, ["order_code", *FOREIGN_KEYS])
+    return not_yet_in(rows, existing, ["order_code", *FOREIGN_KEYS], repeated=True)
 
 
 def load_fact(
@@ -162,5 +153,5 @@ def load_fact(
     existing = warehouse.find("consumption", "sales_fact")
     if only_new and existing is not None:
         rows = new_fact_rows(rows, existing)
-    keyed = with_fact_key(rows, next_key(existing, "order_id_pk"))
-    warehouse.append("consumption", "sales_fact", keyed)
+    keyed = number_once(rows, "order_id_pk", next_key(existing, "order_id_pk"))
+    warehouse.append("consumption", "sales_fact", keyed.select(*FACT_COLUMNS))

@@ -11,11 +11,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+Result = TypeVar("Result")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -47,3 +50,9 @@ def stage(df: DataFrame, name: str = "stage", partition_by: Sequence[str] = ())
     path = scratch_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(*jobs: Callable[[], Result]) -> list[Result]:
+    """Run independent jobs at the same time, so that small ones fill the idle executors."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [done.result() for done in [pool.submit(job) for job in jobs]]
