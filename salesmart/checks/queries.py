@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.checks.present import present
-from salesmart.config import CURATED_COLUMNS, FACT_COLUMNS, FRANCE, INDIA, USA
+from salesmart.config import COUNTRIES, CURATED_COLUMNS, FACT_COLUMNS, FRANCE, INDIA, USA
 from salesmart.functions.casts import json_field, to_number, typed
 from salesmart.functions.columns import default_column, or_default, resolve_columns
 from salesmart.functions.dates import order_period
@@ -69,9 +69,10 @@ def rate_table(spark, sf_dir):
     return stage(exchange_rates(spark, sf_dir), "exchange-rate")
 
 
-def source_layer(spark, sf_dir):
+def source_layer(spark, sf_dir, only_settled=False):
     """The SOURCE rows of all countries from one pass over the order tables."""
-    layer = stage(sales_lines(spark, sf_dir), "source", ["source"])
+    lines = sales_lines(spark, sf_dir)
+    layer = stage(settled(lines) if only_settled else lines, "source", ["source"])
 
     def of(country):
         rows = layer.where(F.col("source") == country.code).drop("source")
@@ -82,9 +83,10 @@ def source_layer(spark, sf_dir):
 
 def curated_frames(spark, sf_dir):
     source, rates = side_by_side(
-        lambda: source_layer(spark, sf_dir), lambda: rate_table(spark, sf_dir)
+        lambda: source_layer(spark, sf_dir, only_settled=True),
+        lambda: rate_table(spark, sf_dir),
     )
-    return {c.code: curate(source(c), c, rates) for c in (INDIA, USA, FRANCE)}
+    return {c.code: curate(source(c), c, rates) for c in COUNTRIES}
 
 
 def curated_sales(spark, sf_dir):
@@ -159,10 +161,10 @@ def scan_partitioned(spark, sf_dir):
 
 @query
 def ingest_lineage(spark, sf_dir):
-    root = landing_root(spark, sf_dir, INDIA, USA, FRANCE)
+    root = landing_root(spark, sf_dir, *COUNTRIES)
     per_source = []
     number = F.col("_METADATA_ROW_NUMBER")
-    for country in (INDIA, USA, FRANCE):
+    for country in COUNTRIES:
         files = (
             load_landing(spark, root, country)
             .rows.groupBy("_METADATA_FILENAME")
@@ -229,14 +231,14 @@ def assign_load_key(spark, sf_dir):
         number_by_range(
             source(c).select("SALES_ORDER_KEY", "ORDER_ID"), ["SALES_ORDER_KEY"], "load_key"
         ).withColumn("source", F.lit(c.code))
-        for c in (INDIA, USA, FRANCE)
+        for c in COUNTRIES
     ]
     return union_all(*keyed)
 
 
 @query
 def file_manifest(spark, sf_dir):
-    root = landing_root(spark, sf_dir, INDIA, USA, FRANCE)
+    root = landing_root(spark, sf_dir, *COUNTRIES)
     files = [landing_files(spark, root, suffix) for suffix in (".csv", ".parquet", ".json")]
     return files_per_directory(union_all(*files))
 
@@ -324,7 +326,7 @@ def conform_sales(spark, sf_dir):
         lambda: source_layer(spark, sf_dir), lambda: rate_table(spark, sf_dir)
     )
     frames = []
-    for c in (INDIA, USA, FRANCE):
+    for c in COUNTRIES:
         rows = with_market(source(c), c)
         if c.rate_column:
             rows = with_rate(rows, rates, c.rate_column)
@@ -579,7 +581,7 @@ def distinct_dates(spark, sf_dir):
 def recon_counts(spark, sf_dir):
     frames = curated_frames(spark, sf_dir)
     return quality.row_counts(
-        {c.country: frames[c.code] for c in (INDIA, USA, FRANCE)}, "country"
+        {c.country: frames[c.code] for c in COUNTRIES}, "country"
     )
 
 
@@ -907,7 +909,7 @@ def dq_row_counts(spark, sf_dir):
     star = fact.star_of(sales)
     return quality.row_counts(
         {
-            **{f"source {c.code}": source(c) for c in (INDIA, USA, FRANCE)},
+            **{f"source {c.code}": source(c) for c in COUNTRIES},
             **{f"curated {code}": frame for code, frame in frames.items()},
             "curated": sales,
             "fact": fact.star_join(sales, star, grain_safe=True),
