@@ -22,7 +22,7 @@ from salesmart.sources.testdata import (
     write_rates,
 )
 from salesmart.sources.warehouse import Warehouse
-from salesmart.staging import scratch_path
+from salesmart.staging import drop_intermediate, scratch_path
 
 HEADLINE = (
     "ingest_csv", "ingest_parquet", "ingest_json",
@@ -84,6 +84,7 @@ def main() -> None:
         ),
         flush=True,
     )
+    drop_intermediate(spark)
     spark.stop()
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from salesmart.functions.columns import find_column, resolve_columns, with_promo
 from salesmart.functions.text import mobile_key_parts
 from salesmart.operators.anti import not_in, not_yet_in
 from salesmart.operators.calendar import calendar
+from salesmart.operators.history import first_versions, latest_state, merge_versions
 from salesmart.operators.keys import next_key, number_by_range, number_small
 from salesmart.operators.sinks import append_or_recreate
 from salesmart.sources.warehouse import Warehouse
@@ -50,6 +52,7 @@ PAYMENT = Dimension(
 )
 DIMENSIONS = (REGION, PRODUCT, PROMOTION, CUSTOMER, PAYMENT)
 DATE_TABLE, DATE_KEY = "date_dim", "date_id_pk"
+HISTORY_TABLE = "customer_history"
 
 
 def identities(sales: DataFrame, dimension: Dimension) -> DataFrame:
@@ -137,3 +140,20 @@ def load_dimensions(warehouse: Warehouse, sales: DataFrame, null_safe: bool = Fa
         append_or_recreate(rows, path, dimension.identity)
 
     side_by_side(load_days, *[lambda d=d: load(d) for d in DIMENSIONS])
+
+
+def load_customer_history(
+    warehouse: Warehouse, sales: DataFrame, as_of: date, since: date = date(1900, 1, 1)
+) -> None:
+    """Bring the versions of the customers up to the state these sales show.
+
+    The first load dates its versions ``since``; each later one ends the versions that
+    changed on ``as_of``.
+    """
+    state = latest_state(sales)
+    history = warehouse.find("consumption", HISTORY_TABLE)
+    if history is None:
+        warehouse.replace("consumption", HISTORY_TABLE, first_versions(state, since))
+        return
+    merged = merge_versions(history, state, as_of)
+    warehouse.replace("consumption", HISTORY_TABLE, merged, reads_target=True)

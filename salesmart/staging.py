@@ -39,9 +39,23 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[app]
 
 
+def application_folder(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
+    return f"{shared_folder(spark)}/salesmart/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path of its own under the shared folder."""
-    return f"{shared_folder(spark)}/salesmart/{name}-{uuid.uuid4().hex}"
+    return f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_intermediate(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, once its results are written.
+
+    Frames that still read one of them stop working, so this is for the end of a job.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str = "stage", partition_by: Sequence[str] = ()) -> DataFrame:
