@@ -41,7 +41,7 @@ from salesmart.sources.testdata import (
     write_rates,
 )
 from salesmart.staging import scratch_path, side_by_side, stage
-from salesmart.streaming.incremental import load_new_files
+from salesmart.streaming.incremental import LoadPaths, load_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -208,14 +208,14 @@ def ingest_good_rows(spark, sf_dir):
 def ingest_incremental(spark, sf_dir):
     """Two waves of files, a run after each and one more that finds nothing new."""
     landing = scratch_path(spark, "landing")
-    rows, rejects, checkpoint = (scratch_path(spark, n) for n in ("rows", "rejects", "seen"))
+    paths = LoadPaths(*[scratch_path(spark, n) for n in ("rows", "rejects", "keys", "seen")])
     text = landing_text(spark, sf_dir, INDIA)
     late = F.coalesce(F.col("Order Date") >= "1998-01-01", F.lit(False))
     for wave in (text.where(~late), text.where(late), None):
         if wave is not None:
             write_landing(wave, landing, INDIA)
-        load_new_files(spark, landing, INDIA, rows, rejects, checkpoint)
-    loaded = spark.read.parquet(rows)
+        load_new_files(spark, landing, INDIA, paths)
+    loaded = spark.read.parquet(paths.rows)
     keys = loaded.agg(
         F.count(F.lit(1)).alias("n"), F.max("SALES_ORDER_KEY").alias("last")
     ).select((F.col("n") == F.col("last")).alias("dense")).scalar()

@@ -1,47 +1,76 @@
 from __future__ import annotations
 
 import shutil
+from dataclasses import replace
 
 from salesmart.config import INDIA
-from salesmart.streaming.incremental import load_new_files
+from salesmart.streaming.incremental import LoadPaths, load_new_files
 from tests.samples import csv_line, values
 from tests.test_ingest import lines, put
 
 
+def paths_below(folder):
+    return LoadPaths(*[str(folder / name) for name in ("rows", "rejects", "keys", "seen")])
+
+
 def test_only_new_files_are_loaded(spark, tmp_path):
-    landing = tmp_path / "landing"
-    paths = [str(tmp_path / name) for name in ("rows", "rejects", "seen")]
+    landing, paths = tmp_path / "landing", paths_below(tmp_path)
 
     def run():
-        load_new_files(spark, str(landing), INDIA, *paths)
-        return values(spark.read.parquet(paths[0]), "ORDER_ID", "SALES_ORDER_KEY")
+        load_new_files(spark, str(landing), INDIA, paths)
+        return values(spark.read.parquet(paths.rows), "ORDER_ID", "SALES_ORDER_KEY")
 
     put(landing, INDIA, "a.csv", lines(csv_line(), csv_line(**{"Order ID": "O-2"})))
     assert run() == [("O-1", 1), ("O-2", 2)]
-    assert [o for o, _ in run()] == ["O-1", "O-2"]
+    assert run() == [("O-1", 1), ("O-2", 2)]
 
     put(landing, INDIA, "b.csv", lines(
         csv_line(**{"Order ID": "O-3"}), csv_line(**{"Order ID": "O-4", "Tax": "n/a"})
     ))
     assert run() == [("O-1", 1), ("O-2", 2), ("O-3", 3)]
-    assert values(spark.read.parquet(paths[1]), "ORDER_ID") == [("O-4",)]
+    assert values(spark.read.parquet(paths.rejects), "ORDER_ID") == [("O-4",)]
+    # the rejected row has used up its key
+    put(landing, INDIA, "c.csv", lines(csv_line(**{"Order ID": "O-5"})))
+    assert run()[-1] == ("O-5", 5)
+
+
+def test_a_file_of_rejects_only(spark, tmp_path):
+    landing, paths = tmp_path / "landing", paths_below(tmp_path)
+    put(landing, INDIA, "a.csv", lines(csv_line(Tax="n/a")))
+    load_new_files(spark, str(landing), INDIA, paths)
+    assert spark.read.parquet(paths.rows).count() == 0
+    assert spark.read.parquet(paths.rejects).count() == 1
+
+
+def test_small_batches(spark, tmp_path):
+    landing, paths = tmp_path / "landing", paths_below(tmp_path)
+    for i in range(3):
+        put(landing, INDIA, f"{i}.csv", lines(csv_line(**{"Order ID": f"O-{i}"})))
+    load_new_files(spark, str(landing), INDIA, paths, files_per_batch=1)
+    rows = values(spark.read.parquet(paths.rows), "SALES_ORDER_KEY", "batch_id")
+    assert rows == [(1, 0), (2, 1), (3, 2)]
 
 
 def test_a_repeated_batch_writes_the_same_rows_and_keys(spark, tmp_path):
     """Losing the note that a batch was finished makes Spark deliver it again."""
-    landing = tmp_path / "landing"
-    paths = [str(tmp_path / name) for name in ("rows", "rejects", "seen")]
+    landing, paths = tmp_path / "landing", paths_below(tmp_path)
     put(landing, INDIA, "a.csv", lines(csv_line()))
-    load_new_files(spark, str(landing), INDIA, *paths)
+    load_new_files(spark, str(landing), INDIA, paths)
     put(landing, INDIA, "b.csv", lines(csv_line(**{"Order ID": "O-2"})))
-    load_new_files(spark, str(landing), INDIA, *paths)
-    before = values(spark.read.parquet(paths[0]), "ORDER_ID", "SALES_ORDER_KEY", "batch_id")
+    load_new_files(spark, str(landing), INDIA, paths)
+    before = values(spark.read.parquet(paths.rows), "ORDER_ID", "SALES_ORDER_KEY", "batch_id")
 
     commits = tmp_path / "seen" / "commits"
     last = max(int(p.name) for p in commits.iterdir() if p.name.isdigit())
-    shutil.copytree(tmp_path / "seen", tmp_path / "seen-again")
-    for name in (f"{last}", f".{last}.crc"):
-        (tmp_path / "seen-again" / "commits" / name).unlink(missing_ok=True)
-    load_new_files(spark, str(landing), INDIA, paths[0], paths[1], str(tmp_path / "seen-again"))
-    after = values(spark.read.parquet(paths[0]), "ORDER_ID", "SALES_ORDER_KEY", "batch_id")
-    assert after == before
+    again = replace(paths, checkpoint=str(tmp_path / "seen-again"))
+    shutil.copytree(
+        paths.checkpoint, again.checkpoint, ignore=shutil.ignore_patterns(f"{last}", f".{last}.crc")
+    )
+    offsets = tmp_path / "seen" / "offsets"
+    shutil.copytree(offsets, tmp_path / "seen-again" / "offsets", dirs_exist_ok=True)
+    shutil.copytree(
+        tmp_path / "seen" / "sources", tmp_path / "seen-again" / "sources", dirs_exist_ok=True
+    )
+    load_new_files(spark, str(landing), INDIA, again)
+    after = values(spark.read.parquet(paths.rows), "ORDER_ID", "SALES_ORDER_KEY", "batch_id")
+    assert after == before == [("O-1", 1, 0), ("O-2", 2, 1)]
