@@ -1,10 +1,12 @@
 """Run the jobs: ``spark-submit`` this package, or ``python -m salesmart``.
 
     python -m salesmart build  --warehouse W --landing L --rates R
+    python -m salesmart audit  --warehouse W
     python -m salesmart report --warehouse W [--country India] [--year 2020]
+    python -m salesmart sql    --warehouse W "SELECT * FROM consumption.region_dim"
 
-``build`` loads what is new in the landing area and brings every layer up to date; ``report``
-prints the dashboard figures.
+``build`` loads what is new in the landing area and brings every layer up to date; ``audit``
+prints the quality checks, ``report`` the dashboard figures, ``sql`` the result of a query.
 """
 
 from __future__ import annotations
@@ -15,9 +17,10 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from salesmart.config import COUNTRIES
-from salesmart.operators.quality import row_counts
 from salesmart.plans import kpi
+from salesmart.plans.audit import audit, layer_counts
 from salesmart.plans.build import build_warehouse
+from salesmart.plans.dimensions import DATE_TABLE, DIMENSIONS
 from salesmart.plans.fact import read_star
 from salesmart.sources.warehouse import Warehouse
 from salesmart.staging import drop_intermediate
@@ -27,11 +30,24 @@ def build(warehouse: Warehouse, options: argparse.Namespace) -> None:
     build_warehouse(
         warehouse, options.landing, options.rates, grain_safe=not options.customers_by_name
     )
-    names = [f"{c.code.lower()}_sales_order" for c in COUNTRIES]
-    tables = {f"{layer}.{n}": warehouse.read(layer, n) for layer in ("source", "curated")
-              for n in names}
-    tables["consumption.sales_fact"] = warehouse.read("consumption", "sales_fact")
-    row_counts(tables).show(truncate=False)
+    layer_counts(warehouse).show(truncate=False)
+
+
+def check(warehouse: Warehouse, options: argparse.Namespace) -> None:
+    for name, findings in audit(warehouse).items():
+        print(name)
+        findings.show(truncate=False)
+
+
+def sql(warehouse: Warehouse, options: argparse.Namespace) -> None:
+    sales = [f"{c.code.lower()}_sales_order" for c in COUNTRIES]
+    warehouse.publish("common", "exchange_rate")
+    warehouse.publish("source", *sales)
+    warehouse.publish("curated", *sales)
+    warehouse.publish(
+        "consumption", DATE_TABLE, *[d.table for d in DIMENSIONS], "sales_fact"
+    )
+    warehouse.spark.sql(options.query).show(options.rows, truncate=False)
 
 
 def report(warehouse: Warehouse, options: argparse.Namespace) -> None:
@@ -62,7 +78,13 @@ def main() -> None:
     reporter.add_argument("--first-day", type=date.fromisoformat)
     reporter.add_argument("--last-day", type=date.fromisoformat)
     reporter.set_defaults(run=report)
-    for command in (builder, reporter):
+    auditor = commands.add_parser("audit")
+    auditor.set_defaults(run=check)
+    asker = commands.add_parser("sql")
+    asker.add_argument("query")
+    asker.add_argument("--rows", type=int, default=20, help="how many result rows to print")
+    asker.set_defaults(run=sql)
+    for command in (builder, reporter, auditor, asker):
         command.add_argument("--warehouse", required=True)
     options = parser.parse_args()
 

@@ -190,7 +190,7 @@ KEY = "cast(sales_order_key AS varchar) AS sales_order_key"
 DAY = "cast(order_dt AS varchar) AS order_dt"
 CURATED_OUT = f"""{KEY}, order_id, {DAY}, customer_name, mobile_key, country, region,
   cast(order_quantity AS bigint) AS order_quantity, local_currency,
-  cast(local_unit_price AS bigint) AS local_unit_price, promotion_code,
+  cast(local_unit_price AS double) AS local_unit_price, promotion_code,
   cast(local_total_order_amt AS double) AS local_total_order_amt,
   cast(local_tax_amt AS double) AS local_tax_amt,
   cast(exchange_rate AS double) AS exchange_rate,

@@ -27,6 +27,7 @@ from salesmart.operators.rates import rates_for, with_rate
 from salesmart.operators.sets import union_all, union_distinct
 from salesmart.operators.sinks import append_or_recreate, append_rows, replace_rows
 from salesmart.plans import dimensions, fact, kpi
+from salesmart.plans.audit import identified_by, references
 from salesmart.plans.curate import conform, curate
 from salesmart.sources.landing import load_landing, read_landing
 from salesmart.sources.manifest import files_per_directory, landing_files
@@ -846,19 +847,9 @@ def dq_fx_accuracy(spark, sf_dir):
 @query
 def dq_dim_duplicates(spark, sf_dir):
     star = fact.star_of(curated_sales(spark, sf_dir))
-    d = dimensions
-    return quality.duplicate_members(
-        {
-            "date": (star.date, d.DATE_KEY, ["order_dt"]),
-            "region": (star.region, d.REGION.key, d.REGION.identity),
-            "product": (star.product, d.PRODUCT.key, d.PRODUCT.identity),
-            "promotion": (star.promotion, d.PROMOTION.key, d.PROMOTION.identity),
-            "customer": (star.customer, d.CUSTOMER.key, d.CUSTOMER.identity),
-            # By name and market alone customers repeat: the reason for the fact's fan-out.
-            "customer by name": (star.customer, d.CUSTOMER.key, history.CUSTOMER_KEY),
-            "payment": (star.payment, d.PAYMENT.key, d.PAYMENT.identity),
-        }
-    )
+    # By name and market alone customers repeat: the reason for the fact's fan-out.
+    by_name = (star.customer, dimensions.CUSTOMER.key, history.CUSTOMER_KEY)
+    return quality.duplicate_members({**identified_by(star), "customer by name": by_name})
 
 
 @query
@@ -868,15 +859,7 @@ def dq_fk_orphans(spark, sf_dir):
     rows = stage(rows, "fact")
     regions = star.region.where(F.col("Country") != FRANCE.country)
     return quality.orphans(
-        rows,
-        {
-            "date_id_fk": (star.date, "date_id_pk"),
-            "region_id_fk": (regions, "region_id_pk"),
-            "customer_id_fk": (star.customer, "customer_id_pk"),
-            "payment_id_fk": (star.payment, "payment_id_pk"),
-            "product_id_fk": (star.product, "product_id_pk"),
-            "promo_code_id_fk": (star.promotion, "promo_code_id_pk"),
-        },
+        rows, {**references(star), "region_id_fk": (regions, dimensions.REGION.key)}
     )
 
 

@@ -14,6 +14,7 @@ INACTIVE = "N"
 # ---- Fixed values: types of the layers ----
 WHOLE = "decimal(38,0)"
 AMOUNT = "decimal(12,2)"
+WHOLE_AMOUNT = "decimal(10,0)"
 RATE = "decimal(10,7)"
 USD = "decimal(18,6)"
 
@@ -58,7 +59,7 @@ class Country:
             if field.column == "CONTACT":
                 field = replace(field, column=self.contact_column)
             if field.column in self.whole_number_columns:
-                field = replace(field, type=WHOLE)
+                field = replace(field, type=WHOLE_AMOUNT)
             named.append(field)
         return tuple(named)
 
@@ -92,6 +93,7 @@ LANDING_FIELDS = (
 LINEAGE_COLUMNS = ("_METADATA_FILENAME", "_METADATA_ROW_NUMBER", "_METADATA_LAST_MODIFIED")
 
 # ---- Fixed values: the sources. ``market`` is the sales area in the test tables. ----
+# An amount that does not fit its type is rejected with its row when it is loaded.
 # The default scales drop the cents of unit and total prices everywhere, and of the tax in
 # the US and French files; ``with_scale`` keeps them.
 INDIA = Country(

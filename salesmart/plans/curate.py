@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.config import COUNTRIES, CURATED_COLUMNS, RATE, USD, Country
+from salesmart.config import AMOUNT, COUNTRIES, CURATED_COLUMNS, RATE, USD, Country
 from salesmart.functions.dates import order_period
 from salesmart.functions.money import to_usd
 from salesmart.operators.dedup import latest_file_per_day
@@ -17,13 +17,19 @@ from salesmart.staging import side_by_side
 
 
 def conform(sales: DataFrame, country: Country) -> DataFrame:
-    """The CURATED layout of one source's rows; sales in dollars have the rate 1."""
+    """The CURATED layout of one source's rows; sales in dollars have the rate 1.
+
+    Amounts get the same type in every country, whatever scale they were loaded with: a union
+    of decimals of different scale would drop the cents of one of them.
+    """
     rate = F.col("EXCHANGE_RATE") if country.rate_column else F.lit(1).cast(RATE)
-    amount, tax = F.col("FINAL_ORDER_AMOUNT"), F.col("TAX_AMOUNT")
+    amount, tax, price = (
+        F.col(c).cast(AMOUNT) for c in ("FINAL_ORDER_AMOUNT", "TAX_AMOUNT", "UNIT_PRICE")
+    )
     in_usd = to_usd if country.rate_column else lambda value, _: value.cast(USD)
     derived = {
         "LOCAL_CURRENCY": F.lit(country.currency),
-        "LOCAL_UNIT_PRICE": F.col("UNIT_PRICE"),
+        "LOCAL_UNIT_PRICE": price,
         "LOCAL_TOTAL_ORDER_AMT": amount,
         "LOCAL_TAX_AMT": tax,
         "EXCHANGE_RATE": rate,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.config import AMOUNT, COUNTRIES, RATE, RATE_FIELDS, WHOLE, Country
+from salesmart.config import AMOUNT, COUNTRIES, RATE, RATE_FIELDS, WHOLE, WHOLE_AMOUNT, Country
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,7 +80,7 @@ def sales_lines(spark: SparkSession, sf_dir: str, *countries: Country) -> DataFr
             "MOBILE_KEY"
         ),
         F.col("l_quantity").cast(WHOLE).alias("ORDER_QUANTITY"),
-        F.col("p_retailprice").cast(WHOLE).alias("UNIT_PRICE"),
+        F.col("p_retailprice").cast(WHOLE_AMOUNT).alias("UNIT_PRICE"),
         _money("l_extendedprice").alias("TOTAL_PRICE"),
         F.when(F.col("l_discount") > 0.02, promotion).alias("PROMOTION_CODE"),
         (_money("l_extendedprice") * (F.lit(1).cast("decimal(4,2)") - _share("l_discount")))

@@ -10,7 +10,7 @@ from salesmart.config import AMOUNT, CURATED_COLUMNS, RATE, USD, WHOLE
 # ---- Fixed values: types of the CURATED columns that are not text ----
 CURATED_TYPES = {
     "SALES_ORDER_KEY": WHOLE, "ORDER_DT": "date", "ORDER_QUANTITY": WHOLE,
-    "LOCAL_UNIT_PRICE": WHOLE, "LOCAL_TOTAL_ORDER_AMT": AMOUNT, "LOCAL_TAX_AMT": AMOUNT,
+    "LOCAL_UNIT_PRICE": AMOUNT, "LOCAL_TOTAL_ORDER_AMT": AMOUNT, "LOCAL_TAX_AMT": AMOUNT,
     "EXCHANGE_RATE": RATE, "USD_TOTAL_ORDER_AMT": USD, "USD_TAX_AMT": USD,
     "ORDER_YEAR": "int", "ORDER_MONTH": "int", "ORDER_QUARTER": "int",
 }

@@ -7,6 +7,7 @@ from datetime import date
 from salesmart import staging
 from salesmart.config import COUNTRIES
 from salesmart.plans import kpi
+from salesmart.plans.audit import audit
 from salesmart.plans.build import build_warehouse
 from salesmart.plans.dimensions import load_customer_history
 from salesmart.plans.fact import read_star
@@ -47,9 +48,25 @@ def test_build_and_rebuild(spark, sf_dir, tmp_path):
     revenue = kpi.revenue_by_country(fact, read_star(warehouse))
     assert {r["Country"] for r in revenue.collect()} == {"India", "USA", "France"}
 
+    found = audit(warehouse)
+    assert found["days with several rates"].first()[0] == 0
+    assert found["repeated fact keys"].first()[0] == 0
+    assert sum(r["n_orphans"] for r in found["fact rows without a dimension member"].collect()) == 0
+    assert sum(r["n_repeated"] for r in found["repeated dimension members"].collect()) == 0
+    assert sum(r["n_wrong"] for r in found["currency conversion"].collect()) == 0
+    assert sum(r["n_nulls"] for r in found["missing values"].collect()) == 0
+    assert sum(r["n_broken"] for r in found["value ranges"].collect()) == 0
+
     build_warehouse(warehouse, landing, rates)
     assert sizes() == first
 
+    warehouse.publish("consumption", "sales_fact", "region_dim")
+    asked = spark.sql(
+        "SELECT Country, count(*) AS n FROM consumption.sales_fact JOIN consumption.region_dim"
+        " ON region_id_fk = region_id_pk GROUP BY Country"
+    )
+    assert sum(r["n"] for r in asked.collect()) == first["sales_fact"]
+
 
 def test_customer_history_grows_with_the_loads(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))

@@ -3,11 +3,13 @@ from __future__ import annotations
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
-from salesmart.config import FACT_COLUMNS, FRANCE, INDIA, USA
+from salesmart.config import FACT_COLUMNS, FRANCE, INDIA, RATE, USA
 from salesmart.functions.money import to_usd
 from salesmart.operators.rates import with_rate
+from salesmart.operators.sets import UnlikeDecimals, union_all
 from salesmart.plans import kpi
 from salesmart.plans.curate import conform
 from salesmart.plans.dimensions import load_dimensions
@@ -76,11 +78,18 @@ def test_dollar_sales_have_rate_one(spark):
     row = spark.createDataFrame([(Decimal("3.10"), Decimal("0.30"))],
                                 "FINAL_ORDER_AMOUNT decimal(12,2), TAX_AMOUNT decimal(12,2)")
     for c in ("SALES_ORDER_KEY", "ORDER_ID", "CUSTOMER_NAME", "MOBILE_KEY", "Country", "Region",
-              "ORDER_QUANTITY", "UNIT_PRICE", "PROMOTION_CODE", "PAYMENT_STATUS",
-              "SHIPPING_STATUS", "PAYMENT_METHOD", "PAYMENT_PROVIDER", "PHONE",
-              "SHIPPING_ADDRESS"):
+              "ORDER_QUANTITY", "PROMOTION_CODE", "PAYMENT_STATUS", "SHIPPING_STATUS",
+              "PAYMENT_METHOD", "PAYMENT_PROVIDER", "PHONE", "MOBILE", "SHIPPING_ADDRESS"):
         row = row.withColumn(c, F.lit("x"))
-    out = conform(row.withColumn("ORDER_DT", F.lit(date(2020, 5, 1))), USA).first()
+    row = row.withColumns({"UNIT_PRICE": F.lit(7), "EXCHANGE_RATE": F.lit(2).cast(RATE),
+                           "ORDER_DT": F.lit(date(2020, 5, 1))})
+    # a tax loaded in whole units does not take the cents of another country's tax in a union
+    whole_tax = row.withColumn("TAX_AMOUNT", F.lit(4).cast("decimal(38,0)"))
+    both = union_all(conform(row, INDIA), conform(whole_tax, USA))
+    assert values(both, "LOCAL_TAX_AMT", "USD_TAX_AMT") == [
+        (Decimal("0.30"), Decimal("0.15")), (Decimal(4), Decimal(4)),
+    ]
+    out = conform(row, USA).first()
     assert (out["EXCHANGE_RATE"], out["USD_TOTAL_ORDER_AMT"]) == (1, Decimal("3.10"))
     assert (out["LOCAL_CURRENCY"], out["ORDER_QUARTER"], out["CONTACT_NO"]) == ("USD", 2, "x")
 
@@ -113,3 +122,11 @@ def test_dashboard_filters(spark):
     assert values(kpi.payment_mix(rows, star), "payment_method", "n_sales", "share") == [
         ("Card", 3, 1.0)
     ]
+
+
+def test_union_refuses_decimals_that_would_lose_digits(spark):
+    cents = spark.createDataFrame([(Decimal("1.25"),)], "tax decimal(12,2)")
+    whole = spark.createDataFrame([(Decimal(1),)], "tax decimal(38,0)")
+    with pytest.raises(UnlikeDecimals, match="tax"):
+        union_all(cents, whole)
+    assert union_all(cents, cents).count() == 2

@@ -65,6 +65,12 @@ def test_scale_is_a_parameter(spark, tmp_path):
     assert str(exact.rows.first()["TAX_AMOUNT"]) == "1.25"
 
 
+def test_amounts_beyond_their_type_are_rejected(spark, tmp_path):
+    put(tmp_path, FRANCE, "a.json", json.dumps({**LINE, "Tax": "10000000000"}))
+    load = load_landing(spark, str(tmp_path), FRANCE)
+    assert load.rows.count() == 0 and load.rejects.first()["bad_fields"] == ["Tax"]
+
+
 def test_parquet_with_native_types_and_an_absent_column(spark, tmp_path):
     frame = spark.createDataFrame([LINE]).drop("Promotion Code").withColumns(
         {"Quantity": F.lit(2), "Order Date": F.to_date("Order Date"), "Tax": F.lit(0.6)}
