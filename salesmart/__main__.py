@@ -12,6 +12,7 @@ prints the quality checks, ``report`` the dashboard figures, ``sql`` the result
 from __future__ import annotations
 
 import argparse
+import sys
 from datetime import date
 
 from pyspark.sql import SparkSession
@@ -64,7 +65,8 @@ def report(warehouse: Warehouse, options: argparse.Namespace) -> None:
     kpi.payment_mix(rows, star).orderBy("payment_method").show()
 
 
-def main() -> None:
+def run(arguments: list[str], spark: SparkSession) -> None:
+    """Carry out one command."""
     parser = argparse.ArgumentParser(prog="salesmart", description=__doc__)
     commands = parser.add_subparsers(required=True)
     builder = commands.add_parser("build")
@@ -86,10 +88,13 @@ def main() -> None:
     asker.set_defaults(run=sql)
     for command in (builder, reporter, auditor, asker):
         command.add_argument("--warehouse", required=True)
-    options = parser.parse_args()
+    options = parser.parse_args(arguments)
+    options.run(Warehouse(spark, options.warehouse), options)
+
 
+def main() -> None:
     spark = SparkSession.builder.appName("salesmart").getOrCreate()
-    options.run(Warehouse(spark, options.warehouse), options)
+    run(sys.argv[1:], spark)
     drop_intermediate(spark)
     spark.stop()
 

@@ -23,13 +23,13 @@ def _order_key() -> Column:
     Orders get 13 digits, parts 11, suppliers 10, line number 1 and quantity 2, so it stays
     unique and within 38 digits far beyond 100 TB.
     """
-    digits = [
-        F.lpad(F.col("l_partkey").cast("string"), 11, "0"),
-        F.lpad(F.col("l_suppkey").cast("string"), 10, "0"),
-        F.col("l_linenumber").cast("string"),
-        F.lpad(F.col("l_quantity").cast("int").cast("string"), 2, "0"),
-    ]
-    return F.concat(F.col("l_orderkey").cast("string"), *digits).cast(WHOLE)
+    shift = F.lit(10**12).cast("decimal(13,0)")
+    order = F.col("l_orderkey").cast("decimal(13,0)") * shift * shift
+    part = F.col("l_partkey").cast("decimal(11,0)") * F.lit(10**13).cast("decimal(14,0)")
+    rest = F.col("l_suppkey") * 1000 + F.col("l_linenumber") * 100 + F.col("l_quantity").cast(
+        "bigint"
+    )
+    return order.cast(WHOLE) + part.cast(WHOLE) + rest.cast(WHOLE)
 
 
 def _money(column: str) -> Column:
@@ -70,7 +70,7 @@ def sales_lines(spark: SparkSession, sf_dir: str, *countries: Country) -> DataFr
         F.lit("PROMO"), F.round(F.col("l_discount") * 100).cast("int").cast(text)
     )
     return lines.select(
-        _order_key().alias("SALES_ORDER_KEY"),
+        _order_key().cast(WHOLE).alias("SALES_ORDER_KEY"),
         F.concat(
             F.lit("ORD-"), F.col("l_orderkey").cast(text), F.lit("-"),
             F.col("l_linenumber").cast(text),

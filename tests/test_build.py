@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from salesmart import staging
+from salesmart.__main__ import run
 from salesmart.config import COUNTRIES
 from salesmart.plans import kpi
 from salesmart.plans.audit import audit
@@ -25,7 +26,7 @@ TABLES = ("region_dim", "product_dim", "promo_code_dim", "customer_dim", "paymen
           "date_dim", "sales_fact")
 
 
-def test_build_and_rebuild(spark, sf_dir, tmp_path):
+def test_build_and_rebuild(spark, sf_dir, tmp_path, capsys):
     landing, rates = f"{tmp_path}/landing", f"{tmp_path}/rates"
     for country in COUNTRIES:
         write_landing(landing_text(spark, sf_dir, country), landing, country)
@@ -67,6 +68,16 @@ def test_build_and_rebuild(spark, sf_dir, tmp_path):
     )
     assert sum(r["n"] for r in asked.collect()) == first["sales_fact"]
 
+    at = ["--warehouse", warehouse.root]
+    run(["build", *at, "--landing", landing, "--rates", rates], spark)
+    assert sizes() == first
+    run(["audit", *at], spark)
+    run(["report", *at, "--country", "India", "--year", "1997"], spark)
+    run(["sql", *at, "SELECT count(*) AS regions FROM consumption.region_dim"], spark)
+    printed = capsys.readouterr().out
+    for heading in ("repeated fact keys", "revenue_usd", "promotion_code", "regions"):
+        assert heading in printed
+
 
 def test_customer_history_grows_with_the_loads(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
