@@ -17,6 +17,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
+# ---- Fixed values: result types of the SQL engine and of Spark ----
+SPARK_TYPES = {"BIGINT": "bigint", "VARCHAR": "string", "STRING": "string",
+               "DOUBLE": "double", "BOOLEAN": "boolean", "INTEGER": "int"}
+
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -35,6 +39,10 @@ def difference(df, con, sql: str) -> str | None:
     if ours != theirs:
         return f"columns {ours} != {theirs}"
     at = [order.index(c) for c in ours]
+    kinds = {d[0]: SPARK_TYPES.get(str(d[1]), str(d[1])) for d in result.description}
+    unlike = {c: (t, kinds[c]) for c, t in df.dtypes if t != kinds[c]}
+    if unlike:
+        return f"types {unlike}"
     expected = sorted(tuple(map(repr, (row[i] for i in at))) for row in expected)
     actual = sorted(tuple(map(repr, row)) for row in df.select(*ours).collect())
     if actual == expected:
