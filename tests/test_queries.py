@@ -33,8 +33,9 @@ def test_every_query_has_sql_or_is_known_to_have_none():
 
 
 def test_contract(spark):
-    assert set(contract.queries()) == set(QUERIES)
-    assert set(contract.oracle_sql()) == set(ORACLE)
+    assert set(contract.queries()) >= set(QUERIES)
+    assert set(contract.oracle_sql()) >= set(ORACLE)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
     result = contract.entry(spark)
     revenue = {r["country"]: round(r["revenue_usd"], 2) for r in result.collect()}
     # ---- Fixed values: golden revenue of the smallest tables ----
