@@ -72,12 +72,14 @@ def ranked(rows: DataFrame, group: str, *order: Column) -> DataFrame:
         Window.unboundedPreceding, -1
     )
     counts = rows.groupBy("part", group).count()
-    starts = counts.select("part", group, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
-    inside = rows.withColumn("inside", F.row_number().over(local) - 1)
+    starts = counts.select(
+        "part", group, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("rank_before")
+    )
+    inside = rows.withColumn("rank_inside", F.row_number().over(local) - 1)
     return (
         inside.join(starts, ["part", group])
-        .withColumn("rank", (F.col("start") + F.col("inside")).cast("long"))
-        .drop("start", "inside")
+        .withColumn("rank", (F.col("rank_before") + F.col("rank_inside")).cast("long"))
+        .drop("rank_before", "rank_inside")
     )
 
 
