@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from salesmart.llm.bpe import op2_bpe
+from salesmart.llm.language import op6_language
 from salesmart.llm.packing import op5_packing
+from salesmart.llm.quality_model import op9_quality_model
 from salesmart.llm.quality_rules import OP10_SQL, op10_quality_rules
 from salesmart.llm.sharding import op1_sharding
 from salesmart.llm.token_files import op7_token_files
@@ -12,7 +14,9 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
     "op5_packing": op5_packing,
+    "op6_language": op6_language,
     "op7_token_files": op7_token_files,
+    "op9_quality_model": op9_quality_model,
     "op10_quality_rules": op10_quality_rules,
 }
 
