@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from salesmart.llm.bpe import op2_bpe
 from salesmart.llm.language import op6_language
+from salesmart.llm.near_dedup import op8_near_dedup
 from salesmart.llm.packing import op5_packing
 from salesmart.llm.quality_model import op9_quality_model
 from salesmart.llm.quality_rules import OP10_SQL, op10_quality_rules
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_language": op6_language,
     "op7_token_files": op7_token_files,
+    "op8_near_dedup": op8_near_dedup,
     "op9_quality_model": op9_quality_model,
     "op10_quality_rules": op10_quality_rules,
 }
