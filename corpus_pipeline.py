@@ -6,14 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.llm.common import documents
 from salesmart.llm.near_dedup import near_dedup_stage
+from salesmart.llm.packing import packing_stage
 from salesmart.llm.quality_model import quality_model_stage
 from salesmart.llm.quality_rules import quality_rules_stage
+from salesmart.llm.suffix_dedup import suffix_dedup_stage
 from salesmart.staging import stage
 
 STAGES = [
     ("quality_rules", quality_rules_stage),
     ("quality_classifier", quality_model_stage),
     ("near_dedup", near_dedup_stage),
+    ("suffix_dedup", suffix_dedup_stage),
+    ("packing", packing_stage),
 ]
 
 #: A trained classifier and a randomised join are among the stages; SQL cannot express them.

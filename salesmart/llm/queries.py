@@ -9,11 +9,13 @@ from salesmart.llm.packing import op5_packing
 from salesmart.llm.quality_model import op9_quality_model
 from salesmart.llm.quality_rules import OP10_SQL, op10_quality_rules
 from salesmart.llm.sharding import op1_sharding
+from salesmart.llm.suffix_dedup import op3_suffix_dedup
 from salesmart.llm.token_files import op7_token_files
 
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op5_packing": op5_packing,
     "op6_language": op6_language,
     "op7_token_files": op7_token_files,
