@@ -135,24 +135,31 @@ def refined(contexts: DataFrame, width: int) -> DataFrame:
     from window ``context`` on) and blocks (first and last windows)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes(4 * LENGTH)
-        for batch in by_bytes(batches, "data"):
-            for row in batch.to_pylist():
-                data = np.frombuffer(row["data"], np.uint8)
-                anchor, start = row["anchor"], row["context"]
-                distance = np.concatenate([
-                    np.arange(anchor - b["last"], anchor - b["first"] + 1) for b in row["blocks"][::-1]])
-                cell = distance // width
-                begin = np.flatnonzero(np.concatenate([[True], np.diff(cell) != 0]))
-                end = np.append(begin[1:], len(cell)) - 1
-                first, last = anchor - distance[end], anchor - distance[begin]
-                # What all windows of the whole cell share, though this block may lack some.
-                near, far = cell[begin] * width, cell[begin] * width + width - 1
-                p1, p2 = hashes.prefixes(data, 0), hashes.prefixes(data, 1)
-                bucket = hashes.between(p1, anchor - near - start, anchor - far + LENGTH - start, 0)
-                outer = [hashes.between(p, first - start, last + LENGTH - start, k) for k, p in enumerate((p1, p2))]
-                keys, size = pa.array([row["text_key"]] * len(first), pa.binary()), len(first)
-                yield blocks_batch(keys, np.full(size, start), np.full(size, anchor), first, last, bucket, *outer)
+        hashes = Hashes()
+        for batch in by_bytes(batches, "data", SEGMENT // 2):
+            rows = batch.to_pylist()
+            # The contexts of a batch lie one after the other; hashes do not depend on the place.
+            data = np.frombuffer(b"".join(r["data"] for r in rows), np.uint8)
+            sizes = np.array([len(r["data"]) for r in rows])
+            shift = np.cumsum(sizes) - sizes - np.array([r["context"] for r in rows])
+            blocks = [(k, b["first"], b["last"]) for k, r in enumerate(rows) for b in r["blocks"]]
+            owner, first, last = np.array(blocks, np.int64).T
+            anchor = np.array([r["anchor"] for r in rows])[owner]
+            # One row for each cell that a block touches.
+            near_cell, far_cell = (anchor - last) // width, (anchor - first) // width
+            count = far_cell - near_cell + 1
+            part = np.repeat(np.arange(len(owner)), count)
+            cell = near_cell[part] + np.arange(len(part)) - np.repeat(np.cumsum(count) - count, count)
+            owner, anchor = owner[part], anchor[part]
+            near, far = cell * width, cell * width + width - 1
+            first, last = np.maximum(first[part], anchor - far), np.minimum(last[part], anchor - near)
+            at = shift[owner]
+            p1, p2 = hashes.prefixes(data, 0), hashes.prefixes(data, 1)
+            # What all windows of the whole cell share, though this block may lack some of them.
+            bucket = hashes.between(p1, at + anchor - near, at + anchor - far + LENGTH, 0)
+            outer = [hashes.between(p, at + first, at + last + LENGTH, k) for k, p in enumerate((p1, p2))]
+            keys = batch.column("text_key").take(pa.array(owner))
+            yield blocks_batch(keys, batch.column("context").take(pa.array(owner)), anchor, first, last, bucket, *outer)
 
     return contexts.mapInArrow(run, BLOCKS)
 
