@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from salesmart.llm.bm25 import op4_search
 from salesmart.llm.bpe import op2_bpe
 from salesmart.llm.language import op6_language
 from salesmart.llm.near_dedup import op8_near_dedup
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe": op2_bpe,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_search": op4_search,
     "op5_packing": op5_packing,
     "op6_language": op6_language,
     "op7_token_files": op7_token_files,
