@@ -2,24 +2,28 @@
 
 Documents with equal shingle sets are one class. Every class walks down ``TREES`` trees. At the
 root of a tree it goes to the node of its least shingle under the tree's hash. A node of at most
-``SMALL`` classes compares all its pairs. In a larger node all classes are compared with one of
-them, the pivot, and then branch: the node chooses ``BRANCHES`` coordinates of the minwise sketch
-and each class goes to the children named by its values there. Nodes whose classes are all of
-one component so far are done, which ends groups of many near copies at once.
+``SMALL`` classes compares all its pairs. In a larger node all classes are compared with a few
+of them, the pivots, and then branch: the node chooses ``BRANCHES`` times ``TOKENS`` coordinates of
+the minwise sketch, and each class goes to the children named by its values there. Nodes whose
+classes are all of one component so far are done. If all but ``MINORITY`` classes of a node are,
+each class is compared with those few, and the node is done: so end groups of many near copies.
+Pairs of similarity 0.75 and less meet in less than one child (3 * 0.75^4 < 1), so they thin
+out; pairs of 0.8 and more meet in more than one (3 * 0.8^4 > 1.2).
 
 Comparing means: set sizes allow the similarity, and the sketches agree in ``AGREE`` of
-``SKETCH`` bytes. Such pairs are confirmed on the full sets of word shingles, as strings.
-
-Recall at similarity 0.8, the worst case: a tree's root keeps a pair together with probability
-0.8; a level below loses it with probability (1 - 0.8 s)^2, s being what still follows, so s is
-at least 0.9375. Eight trees miss a pair with (1 - 0.75)^8 < 2e-5, and the sketch rejects one
-with about 2e-6. Nodes left after ``LEVELS`` levels are finished exactly, pivot by pivot.
+``SKETCH`` bytes. Such pairs are confirmed on the full sets of word shingles, as strings: first
+each class with its nearest, then all pairs that those links have not joined already.
+
+Recall: a tree's root keeps a pair of similarity j together with probability j, and the levels
+below with s = 1 - (1 - j^4 s)^3 at least, if their nodes stay large to the end. Ten trees find
+such a pair of 0.8 with 0.99, of 0.85 with 0.9998, of 0.9 with 1 - 1e-6; a pair whose nodes are
+small after the root with 1 - 0.2^10, whatever its similarity. The sketch rejects a pair of 0.8
+with about 5e-6. Nodes left after ``LEVELS`` levels are finished exactly, pivot by pivot.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +35,14 @@ from salesmart.llm.common import by_bytes, documents
 from salesmart.llm.components import components
 from salesmart.staging import stage
 
-TREES = 8
+TREES = 10
 SKETCH = 32
-AGREE = 13
-SMALL = 16
-BRANCHES = 2
+AGREE = 15
+SMALL = 32
+MINORITY = 16
+PIVOTS = 3
+BRANCHES = 3
+TOKENS = 4
 LEVELS = 10
 PERCENT = 80
 MEMO_WORDS = 300_000
@@ -127,12 +134,17 @@ def sketches(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SKETCH)
 
 
-CANDIDATES = "a long, b long"
+PAIRS = "a long, b long"
+CANDIDATES = "a long, b long, agree long"
+NEARLY_DONE = f"node_size > {SMALL} AND node_size - dominant_size <= {MINORITY}"
+BRANCHING = f"node_size > {SMALL} AND node_size - dominant_size > {MINORITY}"
 
 
-def pairs_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.maximum(a, b), pa.int64()), pa.array(np.minimum(a, b), pa.int64())], names=["a", "b"])
+def candidates(a: np.ndarray, b: np.ndarray, one: np.ndarray, two: np.ndarray) -> pa.RecordBatch:
+    """Pairs whose sketches agree enough, each once."""
+    agree = (one == two).sum(1)
+    rows = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b), agree], 1)[agree >= AGREE], axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(rows[:, k], pa.int64()) for k in range(3)], names=["a", "b", "agree"])
 
 
 def pairs_in_small_nodes(live: DataFrame) -> DataFrame:
@@ -161,8 +173,7 @@ def pairs_in_small_nodes(live: DataFrame) -> DataFrame:
                 near &= sizes_allow(size[first], size[second])
                 first, second = first[near], second[near]
                 if len(first):
-                    close = (sketch[first] == sketch[second]).sum(1) >= AGREE
-                    yield pairs_batch(member[first[close]], member[second[close]])
+                    yield candidates(member[first], member[second], sketch[first], sketch[second])
             tail = [r[-(SMALL - 1):] for r in rows]
 
     small = live.filter(F.col("node_size") <= SMALL)
@@ -170,7 +181,7 @@ def pairs_in_small_nodes(live: DataFrame) -> DataFrame:
 
 
 def pairs_with_pivots(live: DataFrame, classes: DataFrame) -> DataFrame:
-    """Candidates of each large node's classes with its pivot."""
+    """Candidates of each large node's classes with its pivots."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,18 +189,49 @@ def pairs_with_pivots(live: DataFrame, classes: DataFrame) -> DataFrame:
                 a, b, m, n = (batch.column(c).to_numpy(zero_copy_only=False)
                               for c in ("class", "pivot", "n_shingles", "pivot_size"))
                 close = sizes_allow(m, n)
-                close &= (sketches(batch.column("sketch")) == sketches(batch.column("pivot_sketch"))).sum(1) >= AGREE
-                yield pairs_batch(a[close], b[close])
+                yield candidates(a[close], b[close], sketches(batch.column("sketch"))[close],
+                                 sketches(batch.column("pivot_sketch"))[close])
 
     pivots = classes.select(F.col("class").alias("pivot"), F.col("n_shingles").alias("pivot_size"),
                             F.col("sketch").alias("pivot_sketch"))
     return (
-        live.filter(F.col("node_size") > SMALL).filter("class <> pivot")
-        .select("class", "n_shingles", "sketch", "pivot").join(pivots, "pivot").mapInArrow(run, CANDIDATES)
+        live.filter(BRANCHING).select("class", "n_shingles", "sketch", F.explode("pivots").alias("pivot"))
+        .filter("class <> pivot").join(pivots, "pivot").mapInArrow(run, CANDIDATES)
     )
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+def pairs_with_minority(live: DataFrame) -> DataFrame:
+    """Candidates between the classes of a node and its few classes of other components."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("class", "other"))
+                yield candidates(a, b, sketches(batch.column("sketch")), sketches(batch.column("other_sketch")))
+
+    nearly = live.filter(NEARLY_DONE).select("node", "class", "color", "n_shingles", "sketch", "dominant")
+    few = nearly.filter("color <> dominant").select(
+        "node", F.col("class").alias("other"), F.col("color").alias("other_color"),
+        F.col("n_shingles").alias("other_size"), F.col("sketch").alias("other_sketch"))
+    low, high = F.least("n_shingles", "other_size"), F.greatest("n_shingles", "other_size")
+    return nearly.join(few, "node") \
+        .filter((F.col("color") != F.col("other_color")) & (100 * low >= PERCENT * high)) \
+        .filter("color = dominant OR class < other") \
+        .select("class", "sketch", "other", "other_sketch").mapInArrow(run, CANDIDATES)
+
+
+def texts_of(pairs: DataFrame, classes: DataFrame, docs: DataFrame, have: DataFrame | None) -> DataFrame:
+    """One text of each class in ``pairs`` that is not in ``have``; rows repeated with the same id
+    and text count once. The classes are written first: if they are few, no text is shuffled."""
+    members = pairs.select("a").union(pairs.select("b")).toDF("class").distinct()
+    if have is not None:
+        members = members.join(have.select("class"), "class", "left_anti")
+    wanted = stage(classes.join(members, "class", "left_semi").select("class", "row_key", "text_key"), "wanted")
+    return stage(keyed(docs).join(wanted, ["row_key", "text_key"])
+                 .groupBy("class").agg(F.first("text").alias("text")), "texts")
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,56 +247,90 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int)
                 common = len(one & two)
                 if 100 * common >= PERCENT * (len(one) + len(two) - common):
                     good.append(k)
-            yield pairs_batch(np.array([a[k] for k in good], np.int64), np.array([b[k] for k in good], np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c[k] for k in good], pa.int64()) for c in (a, b)], names=["a", "b"])
 
-    members = pairs.select("a").union(pairs.select("b")).toDF("class").distinct()
-    wanted = classes.join(members, "class", "left_semi").select("class", "row_key", "text_key")
-    # One text of each class; rows repeated with the same id and text count once.
-    texts = stage(keyed(docs).join(wanted, ["row_key", "text_key"])
-                  .groupBy("class").agg(F.first("text").alias("text")), "texts")
     return (
-        pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-        .mapInArrow(run, CANDIDATES)
+        pairs.select("a", "b").join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+        .mapInArrow(run, PAIRS)
     )
 
 
 def branched(large: DataFrame, level: int) -> DataFrame:
     """Rows of large nodes in the children that their sketch chooses.
 
-    After LEVELS levels nodes stay as they are and only lose the pivot, which has met all others.
+    After LEVELS levels nodes stay as they are and only lose the pivots, which have met all others.
     """
     if level >= LEVELS:
-        return large.filter("class <> pivot").select("node", "class", "color", "n_shingles", "sketch")
-    picks = [F.pmod(F.xxhash64("node", F.lit(level), F.lit(k)), F.lit(SKETCH)).cast("int") for k in range(BRANCHES)]
-    children = F.array_distinct(F.array(*[
-        F.xxhash64("node", p, F.substring("sketch", p + 1, F.lit(1))) for p in picks]))
+        return large.filter(~F.array_contains("pivots", F.col("class"))).select("node", "class", "color", "n_shingles", "sketch")
+    children = []
+    for branch in range(BRANCHES):
+        chosen = F.xxhash64("node", F.lit(level), F.lit(branch))
+        picks = [F.pmod(F.shiftrightunsigned(chosen, 8 * k), F.lit(SKETCH)).cast("int") for k in range(TOKENS)]
+        children.append(F.xxhash64(chosen, *[F.substring("sketch", p + 1, F.lit(1)) for p in picks]))
+    children = F.array(*children)
     return large.select(F.explode(children).alias("node"), "class", "color", "n_shingles", "sketch")
 
 
-def links_between(classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """All links between different classes that the trees find, or links that join the same
-    components."""
+def nearest_pairs(pairs: DataFrame) -> DataFrame:
+    """Each class with the one whose sketch agrees most."""
+    one = pairs.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
+    two = pairs.groupBy("b").agg(F.max_by("a", F.struct("agree", "a")).alias("a"))
+    return one.union(two.select("a", "b")).distinct()
+
+
+def joined(stars: DataFrame | None, links: DataFrame) -> DataFrame:
+    """node and root after more links."""
+    return components(links if stars is None else stars.toDF("a", "b").union(links))
+
+
+def apart(pairs: DataFrame, stars: DataFrame) -> DataFrame:
+    """Pairs that are not in one component yet."""
+    return (
+        pairs.join(stars.toDF("a", "root_a"), "a", "left").join(stars.toDF("b", "root_b"), "b", "left")
+        .filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    )
+
+
+def linked(classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """node and root: the components that the trees' links make of the classes."""
     tokens = F.posexplode("tokens").alias("tree", "token")
     rows = classes.select(tokens, "class", "n_shingles", "sketch").select(
         F.xxhash64("tree", "token").alias("node"), "class", F.col("class").alias("color"), "n_shingles", "sketch")
-    found: list[DataFrame] = []
-    level = 0
+    texts, stars, tested, level = None, None, None, 0
     while True:
         rows = stage(rows, "rows") if level else rows
-        order = F.xxhash64("class", F.lit(level))
-        nodes = rows.groupBy("node").agg(
-            F.count("*").alias("node_size"), F.min_by("class", order).alias("pivot"),
+        orders = [F.xxhash64("class", F.lit(level), F.lit(k)) for k in range(PIVOTS)]
+        if level:
+            colors = rows.groupBy("node", "color").agg(
+                F.count("*").alias("n"), F.min_by("class", orders[0]).alias("class"))
+        else:  # every class has a colour of its own
+            colors = rows.select("node", "color", F.lit(1).cast("long").alias("n"), "class")
+        nodes = colors.groupBy("node").agg(
+            F.sum("n").alias("node_size"), F.max("n").alias("dominant_size"),
+            F.max_by("color", "n").alias("dominant"),
+            F.array_distinct(F.array(*[F.min_by("class", o) for o in orders])).alias("pivots"),
             F.min("color").alias("lowest"), F.max("color").alias("highest"),
         ).filter("lowest <> highest").drop("lowest", "highest")
         live = stage(rows.join(nodes, "node"), "live")
-        pairs = stage(pairs_in_small_nodes(live).union(pairs_with_pivots(live, classes)).distinct(), "pairs")
-        found.append(stage(confirmed(pairs, classes, docs, size), "links"))
-        links = reduce(DataFrame.union, found)
-        large = live.filter(F.col("node_size") > SMALL)
+        pairs = pairs_in_small_nodes(live).union(pairs_with_minority(live)) \
+            .union(pairs_with_pivots(live, classes)).groupBy("a", "b").agg(F.max("agree").alias("agree"))
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = stage(pairs, "pairs")
+        tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
+        more = texts_of(pairs, classes, docs, texts)
+        texts = more if texts is None else texts.union(more)
+        nearest = stage(nearest_pairs(pairs), "nearest")
+        stars = joined(stars, stage(confirmed(nearest, texts, size), "links"))
+        others = stage(apart(pairs.join(nearest, ["a", "b"], "left_anti"), stars), "others")
+        if not others.isEmpty():
+            stars = joined(stars, stage(confirmed(others, texts, size), "links"))
+        large = live.filter(BRANCHING)
         if large.isEmpty():
-            return links
-        colors = components(links).toDF("class", "root")
-        colored = large.join(colors, "class", "left").withColumn("color", F.coalesce("root", "class"))
+            return stars
+        colored = large.join(stars.toDF("class", "root"), "class", "left") \
+            .withColumn("color", F.coalesce("root", "class"))
         rows = branched(colored, level)
         level += 1
 
@@ -277,7 +353,7 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     # The table is written, so a number by place in it is the same whenever it is read again.
     classes = stage(classes.withColumn("class", F.monotonically_increasing_id())
                     .select("*", "keys.row_key", "keys.text_key").drop("keys"), "classes")
-    roots = components(links_between(classes, docs, size)).toDF("class", "root")
+    roots = linked(classes, docs, size).toDF("class", "root")
     grouped = stage(classes.select("class", "set_key", "least_id").join(roots, "class", "left")
                     .select("set_key", "least_id", F.coalesce("root", "class").alias("group")), "grouped")
     least = grouped.groupBy("group").agg(F.min("least_id").alias("group_id"))
