@@ -29,7 +29,7 @@ K1, B = 1.2, 0.75
 SHARD_BYTES = 16 << 20
 BLOCK_DOCS = 32
 FIRST_BLOCKS = 4
-QUERY_TERMS = 1_000_000
+QUERY_TERMS = 500_000
 EVERY = 100
 
 
@@ -173,9 +173,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
         .withColumn("block", F.pmod("query", F.lit(blocks))), "queries")
     found = None
     for block in range(blocks):
-        part = [(r["query_id"], r["query"], [bytes(t["term"]) for t in r["terms"]],
-                 np.array([t["weight"] for t in r["terms"]]))
-                for r in weighted.filter(F.col("block") == block).collect()]
+        part = weighted.filter(F.col("block") == block).select("query_id", "query", "terms").toArrow()
         hits = stage(index.mapInArrow(searcher(spark.sparkContext.broadcast(part), mean_length, k), HITS), "hits")
         found = hits if found is None else found.union(hits)
     best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), F.asc_nulls_first("doc_id"))
@@ -186,13 +184,25 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
 HITS = "query_id long, query long, doc_id long, score double"
 
 
+def each_query(table: pa.Table) -> Iterator[tuple[int, int, list[bytes], np.ndarray]]:
+    for batch in table.to_batches():
+        lists = batch.column("terms")
+        ends, (terms, weights) = lists.offsets.to_numpy(), lists.values.flatten()
+        for k, (query_id, query) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("query_id", "query")), strict=True)):
+            size = ends[k + 1] - ends[k]
+            yield query_id, query, terms.slice(ends[k], size).to_pylist(), weights.slice(ends[k], size).to_numpy()
+
+
 def searcher(queries, mean_length: float, k: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                shard = Shard(batch.slice(at, 1).to_pylist()[0], mean_length)
+                row = batch.slice(at, 1).to_pylist()[0]
+                if not row["terms"]:
+                    continue
+                shard = Shard(row, mean_length)
                 ids: list[list] = [[], [], [], []]
-                for query_id, query, terms, weights in queries.value:
+                for query_id, query, terms, weights in each_query(queries.value):
                     docs, scores = shard.search(terms, weights, k)
                     ids[0] += [query_id] * len(docs)
                     ids[1] += [query] * len(docs)
