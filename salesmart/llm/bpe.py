@@ -27,7 +27,7 @@ from tokenizers import Tokenizer
 from salesmart.llm.common import by_bytes, documents
 
 #: Words a task remembers with their ids; then it starts anew.
-MEMO_WORDS = 200_000
+MEMO_WORDS = 500_000
 NO_RANK = np.iinfo(np.int64).max
 
 
