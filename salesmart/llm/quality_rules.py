@@ -194,7 +194,9 @@ def cascade(
 
 def quality_rules_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that no rule rejects."""
-    return cascade(docs).filter("kept").select("row.*")
+    # A plain filter would be pushed below the cascade, each measure spelled out again in it.
+    kept = cascade(docs).select(F.explode_outer(F.when(F.col("kept"), F.array("row"))).alias("row"))
+    return kept.filter(F.col("row").isNotNull()).select("row.*")
 
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
