@@ -10,8 +10,9 @@ from salesmart.config import USD
 
 
 def to_usd(amount: Column, rate: Column) -> Column:
-    """``amount`` over units of local currency per dollar; NULL without a usable rate.
+    """``amount`` over units of local currency per dollar; NULL without a usable rate, or if the
+    result does not fit, which the check of conversions counts.
 
     Eighteen digits keep the value in a machine word, so sums stay exact and fast.
     """
-    return F.try_divide(amount, rate).cast(USD)
+    return F.try_divide(amount, rate).try_cast(USD)

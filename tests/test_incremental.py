@@ -74,3 +74,27 @@ def test_a_repeated_batch_writes_the_same_rows_and_keys(spark, tmp_path):
     load_new_files(spark, str(landing), INDIA, again)
     after = values(spark.read.parquet(paths.rows), "ORDER_ID", "SALES_ORDER_KEY", "batch_id")
     assert after == before == [("O-1", 1, 0), ("O-2", 2, 1)]
+
+
+def test_old_and_nested_files_are_new_files(spark, tmp_path):
+    """Backfilled files keep their old times and may lie deeper; the stream loads them too."""
+    import os
+
+    from salesmart.config import COUNTRIES
+    from salesmart.sources.landing import NO_AGE_LIMIT, stream_landing
+
+    country = next(c for c in COUNTRIES if c.file_format == "csv")
+    root = tmp_path / "landing"
+    line = ",".join("1" for _ in country.fields) + "\n"
+    head = ",".join(f.label for f in country.fields) + "\n"
+    for k, name in enumerate(("a.csv", "2020/b.csv", "c.csv")):
+        file = root / country.directory / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text((head if country.csv_header else "") + line)
+        if k:
+            os.utime(file, (1_500_000_000, 1_500_000_000))
+    assert NO_AGE_LIMIT
+    query = stream_landing(spark, str(root), country, 1).writeStream.format("memory").queryName("late") \
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    query.awaitTermination(60)
+    assert spark.table("late").count() == 3
