@@ -4,15 +4,19 @@ Documents with equal shingle sets are one class. Every class walks down ``TREES`
 root of a tree it goes to the node of its least shingle under the tree's hash. A node of at most
 ``SMALL`` classes compares all its pairs. In a larger node all classes are compared with a few
 of them, the pivots, and then branch: the node chooses ``BRANCHES`` times ``TOKENS`` coordinates of
-the minwise sketch, and each class goes to the children named by its values there. Nodes whose
-classes are all of one component so far are done. If all but ``MINORITY`` classes of a node are,
-each class is compared with those few, and the node is done: so end groups of many near copies.
-Pairs of similarity 0.75 and less meet in less than one child (3 * 0.75^4 < 1), so they thin
-out; pairs of 0.8 and more meet in more than one (3 * 0.8^4 > 1.2).
-
-Comparing means: set sizes allow the similarity, and the sketches agree in ``AGREE`` of
-``SKETCH`` bytes. Such pairs are confirmed on the full sets of word shingles, as strings: first
-each class with its nearest, then all pairs that those links have not joined already.
+the minwise sketch, and each class goes to the children named by its values there. Pairs of
+similarity 0.75 and less meet in less than one child (3 * 0.75^4 < 1), so they thin out; pairs of
+0.8 and more meet in more than one (3 * 0.8^4 > 1.2).
+
+Each level has two passes. The first compares by size and sketch (``AGREE`` of ``SKETCH`` bytes)
+and confirms, on the texts, each class's nearest in each node and all pairs with pivots; their
+links colour the classes by component. The second decides all that is left: nodes in which all
+but ``MINORITY`` classes have one colour. Classes with a candidate of another colour there bring
+their full set of shingle hashes, once for each node, and the task counts all intersections with
+the few. Only links that join two colours leave it, so what leaves is never more than what came,
+however many pairs a group has; they too are confirmed on the texts. A node's one-coloured rows
+are dealt out in buckets, each with a copy of the few. Other nodes branch. A task holds the sets
+of ``MINORITY`` classes at most.
 
 Recall: a tree's root keeps a pair of similarity j together with probability j, and the levels
 below with s = 1 - (1 - j^4 s)^3 at least, if their nodes stay large to the end. Ten trees find
@@ -31,6 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.llm.bpe import gather
 from salesmart.llm.common import by_bytes, documents
 from salesmart.llm.components import components
 from salesmart.staging import stage
@@ -38,14 +43,17 @@ from salesmart.staging import stage
 TREES = 10
 SKETCH = 32
 AGREE = 15
-SMALL = 32
-MINORITY = 16
+SMALL = 256
+MINORITY = 256
+BUCKET = 4096
 PIVOTS = 3
 BRANCHES = 3
 TOKENS = 4
 LEVELS = 10
 PERCENT = 80
 MEMO_WORDS = 300_000
+BLOCK_ROWS = 64
+BLOCK_HASHES = 20_000
 
 MASK = (1 << 64) - 1
 
@@ -136,8 +144,8 @@ def sketches(column: pa.Array) -> np.ndarray:
 
 PAIRS = "a long, b long"
 CANDIDATES = "a long, b long, agree long"
-NEARLY_DONE = f"node_size > {SMALL} AND node_size - dominant_size <= {MINORITY}"
-BRANCHING = f"node_size > {SMALL} AND node_size - dominant_size > {MINORITY}"
+LARGE = f"node_size > {SMALL}"
+BRANCHING = f"node_size - dominant_size > {MINORITY}"
 
 
 def candidates(a: np.ndarray, b: np.ndarray, one: np.ndarray, two: np.ndarray) -> pa.RecordBatch:
@@ -147,11 +155,11 @@ def candidates(a: np.ndarray, b: np.ndarray, one: np.ndarray, two: np.ndarray) -
     return pa.RecordBatch.from_arrays([pa.array(rows[:, k], pa.int64()) for k in range(3)], names=["a", "b", "agree"])
 
 
-def pairs_in_small_nodes(live: DataFrame) -> DataFrame:
-    """Candidates among all pairs of each small node.
+def nearest_in_small_nodes(live: DataFrame) -> DataFrame:
+    """The classes of small nodes that have a candidate there (a), each with its nearest (b).
 
     Rows of a node lie together, so its pairs are rows at a distance of 1 to SMALL - 1; the last
-    rows of a batch are kept for the next.
+    rows of a batch are kept for the next, and may then be named once more.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,18 +174,30 @@ def pairs_in_small_nodes(live: DataFrame) -> DataFrame:
                 old = len(tail[0])
                 rows = [np.concatenate([t, r]) for t, r in zip(tail, rows, strict=True)]
             node, member, color, size, sketch = rows
+            found = [np.zeros((3, 0), np.int64)]
             for gap in range(1, SMALL):
                 second = np.arange(max(old, gap), len(node))
                 first = second - gap
-                near = (node[first] == node[second]) & (color[first] != color[second])
-                near &= sizes_allow(size[first], size[second])
+                near = node[first] == node[second]
+                if not near.any():
+                    break
+                near &= (color[first] != color[second]) & sizes_allow(size[first], size[second])
                 first, second = first[near], second[near]
-                if len(first):
-                    yield candidates(member[first], member[second], sketch[first], sketch[second])
+                agree = (sketch[first] == sketch[second]).sum(1)
+                found.append(np.stack([first, second, agree])[:, agree >= AGREE])
+            one, two, agree = np.concatenate(found, 1)
+            one, two, agree = np.append(one, two), np.append(two, one), np.append(agree, agree)
+            order = np.lexsort((member[two], -agree, one))
+            one, two, agree = one[order], two[order], agree[order]
+            best = np.flatnonzero(np.diff(one, prepend=-1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in (node[one[best]], member[one[best]], member[two[best]], agree[best])],
+                names=["node", "a", "b", "agree"])
             tail = [r[-(SMALL - 1):] for r in rows]
 
-    small = live.filter(F.col("node_size") <= SMALL)
-    return small.repartition("node").sortWithinPartitions("node").mapInArrow(run, CANDIDATES)
+    small = live.filter(~F.expr(LARGE)).select("node", "class", "color", "n_shingles", "sketch")
+    return small.repartition("node").sortWithinPartitions("node") \
+        .mapInArrow(run, "node long, a long, b long, agree long")
 
 
 def pairs_with_pivots(live: DataFrame, classes: DataFrame) -> DataFrame:
@@ -195,40 +215,180 @@ def pairs_with_pivots(live: DataFrame, classes: DataFrame) -> DataFrame:
     pivots = classes.select(F.col("class").alias("pivot"), F.col("n_shingles").alias("pivot_size"),
                             F.col("sketch").alias("pivot_sketch"))
     return (
-        live.filter(BRANCHING).select("class", "n_shingles", "sketch", F.explode("pivots").alias("pivot"))
+        live.filter(LARGE).select("class", "n_shingles", "sketch", F.explode("pivots").alias("pivot"))
         .filter("class <> pivot").join(pivots, "pivot").mapInArrow(run, CANDIDATES)
     )
 
 
-def pairs_with_minority(live: DataFrame) -> DataFrame:
-    """Candidates between the classes of a node and its few classes of other components."""
+def facing(live: DataFrame, *columns: str) -> DataFrame:
+    """The rows of nodes that need not branch, in buckets. The few rows that are not of the
+    dominant colour (``few``) are in all buckets of their node, the others in one."""
+    closed = live.filter(~F.expr(BRANCHING))
+    buckets = F.ceil(F.col("node_size") / BUCKET).cast("int")
+    few = F.col("color") != F.col("dominant")
+    every = F.sequence(F.lit(0), buckets - 1)
+    one = F.array(F.pmod(F.xxhash64("class"), buckets).cast("int"))
+    return closed.select("node", F.explode(F.when(few, every).otherwise(one)).alias("bucket"),
+                         few.alias("few"), "class", "color", *columns)
+
+
+def together(rows: DataFrame) -> DataFrame:
+    """Rows of a node and bucket in one task and one after the other, the few first."""
+    return rows.repartition("node", "bucket").sortWithinPartitions("node", "bucket", F.desc("few"))
+
+
+def runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], bool, int, int]]:
+    """Key (node, bucket), whether they are the few, and the bounds of each run of rows."""
+    node, bucket, few = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "bucket", "few"))
+    changes = (np.diff(node) != 0) | (np.diff(bucket) != 0) | (few[1:] != few[:-1])
+    cuts = [0, *(np.flatnonzero(changes) + 1), batch.num_rows]
+    for begin, end in zip(cuts, cuts[1:], strict=False):
+        if begin < end:
+            yield (node[begin], bucket[begin]), bool(few[begin]), begin, end
+
+
+CONTESTED = "node long, bucket int, few boolean, class long, color long"
+
+
+def contested(rows: DataFrame) -> DataFrame:
+    """Of ``facing`` rows with sketches, those with a candidate of another colour beside them."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        kept: list[tuple] = []
         for batch in batches:
-            if batch.num_rows:
-                a, b = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("class", "other"))
-                yield candidates(a, b, sketches(batch.column("sketch")), sketches(batch.column("other_sketch")))
-
-    nearly = live.filter(NEARLY_DONE).select("node", "class", "color", "n_shingles", "sketch", "dominant")
-    few = nearly.filter("color <> dominant").select(
-        "node", F.col("class").alias("other"), F.col("color").alias("other_color"),
-        F.col("n_shingles").alias("other_size"), F.col("sketch").alias("other_sketch"))
-    low, high = F.least("n_shingles", "other_size"), F.greatest("n_shingles", "other_size")
-    return nearly.join(few, "node") \
-        .filter((F.col("color") != F.col("other_color")) & (100 * low >= PERCENT * high)) \
-        .filter("color = dominant OR class < other") \
-        .select("class", "sketch", "other", "other_sketch").mapInArrow(run, CANDIDATES)
-
-
-def texts_of(pairs: DataFrame, classes: DataFrame, docs: DataFrame, have: DataFrame | None) -> DataFrame:
-    """One text of each class in ``pairs`` that is not in ``have``; rows repeated with the same id
+            if not batch.num_rows:
+                continue
+            color, size = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("color", "n_shingles"))
+            member, sketch = batch.column("class").to_numpy(), sketches(batch.column("sketch"))
+            for key, few, begin, end in runs(batch):
+                part = [c[begin:end] for c in (member, color, size, sketch)]
+                if held is None or held[0] != key:
+                    held = (key, [p[:0] for p in part], np.zeros(0, bool))
+                if few:
+                    held = (key, [np.concatenate(c) for c in zip(held[1], part, strict=True)],
+                            np.append(held[2], np.zeros(end - begin, bool)))
+                _, (few_member, few_color, few_size, few_sketch), seen = held
+                met = np.zeros(end - begin, bool)
+                for at in range(0, end - begin, BLOCK_ROWS):
+                    cut = slice(at, at + BLOCK_ROWS)
+                    near = (part[1][cut, None] != few_color) & sizes_allow(part[2][cut, None], few_size)
+                    near &= (part[3][cut, None] == few_sketch).sum(2) >= AGREE
+                    met[cut] = near.any(1)
+                    for k in np.flatnonzero(near.any(0) & ~seen):
+                        seen[k] = True
+                        kept.append((*key, True, few_member[k], few_color[k]))
+                if not few:
+                    kept += [(*key, False, part[0][k], part[1][k]) for k in np.flatnonzero(met)]
+            yield batch_of(kept)
+            kept = []
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) or [()] * 5
+        types = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                                          names=["node", "bucket", "few", "class", "color"])
+
+    return together(rows).mapInArrow(run, CONTESTED)
+
+
+class Few:
+    """The few classes of a node, with an index of their shingles and the colours united so far."""
+
+    def __init__(self):
+        self.member, self.color = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.sets: list[np.ndarray] = []
+        self.root: dict[int, int] = {}
+
+    def add(self, member: np.ndarray, color: np.ndarray, sets: list[np.ndarray]) -> None:
+        self.member, self.color = np.append(self.member, member), np.append(self.color, color)
+        self.sets += sets
+        self.size = np.array(list(map(len, self.sets)))
+        flat, owner = np.concatenate(self.sets), np.repeat(np.arange(len(self.sets)), self.size)
+        order = np.argsort(flat, kind="stable")
+        self.owner = owner[order]
+        self.hashes, self.starts, self.counts = np.unique(flat[order], return_index=True, return_counts=True)
+
+    def find(self, color: int) -> int:
+        while (above := self.root.get(color, color)) != color:
+            color = above
+        return color
+
+    def common(self, sets: list[np.ndarray]) -> np.ndarray:
+        """Sizes of the intersections of each set with each of the few."""
+        flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), list(map(len, sets)))
+        counted = np.zeros(len(sets) * len(self.sets), np.int64)
+        for at in range(0, len(flat), BLOCK_HASHES):
+            hashes = flat[at:at + BLOCK_HASHES]
+            place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            hit = self.hashes[place] == hashes
+            place, rows = place[hit], row[at:at + BLOCK_HASHES][hit]
+            owner = self.owner[gather(self.starts[place], self.counts[place])]
+            counted += np.bincount(np.repeat(rows, self.counts[place]) * len(self.sets) + owner, minlength=len(counted))
+        return counted.reshape(len(sets), -1)
+
+    def links(self, member: np.ndarray, color: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+        """Links of the classes with the few, as many as it takes to unite their colours."""
+        for at in range(0, len(sets) if self.sets else 0, BLOCK_ROWS):
+            cut = slice(at, at + BLOCK_ROWS)
+            common = self.common(sets[cut])
+            total = np.array(list(map(len, sets[cut])))[:, None] + self.size - common
+            alike = (100 * common >= PERCENT * total) & (color[cut, None] != self.color)
+            one, two = np.nonzero(alike)
+            colors = np.stack([color[cut][one], self.color[two]], 1)
+            for k in np.unique(colors, axis=0, return_index=True)[1]:
+                a, b = map(self.find, colors[k].tolist())
+                if a != b:
+                    self.root[a] = b
+                    yield member[cut][one[k]], self.member[two[k]]
+
+
+def uniting_links(rows: DataFrame) -> DataFrame:
+    """Links between colours, decided on full sets, of contested rows with their ``hashes``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, few_of = None, Few()
+        for batch in by_bytes(batches, "hashes"):
+            member, color = (batch.column(c).to_numpy() for c in ("class", "color"))
+            sets = [np.frombuffer(h, np.uint64) for h in batch.column("hashes").to_pylist()]
+            found = []
+            for key, few, begin, end in runs(batch):
+                if key != held:
+                    held, few_of = key, Few()
+                part = member[begin:end], color[begin:end], sets[begin:end]
+                if few:
+                    few_of.add(*part)
+                found += few_of.links(*part)
+            pairs = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs.max(1)), pa.array(pairs.min(1))], names=["a", "b"])
+
+    return together(rows).mapInArrow(run, PAIRS).distinct()
+
+
+def hashed_sets(texts: DataFrame, size: int) -> DataFrame:
+    """class and the sorted hashes of its shingles as bytes."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = WordHashes()
+        for batch in by_bytes(batches, limit=1 << 20):
+            if len(memo) > MEMO_WORDS:
+                memo.clear()
+            sets = [shingle_hashes(words_in(t), size, memo).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(sets, pa.binary())], names=["class", "hashes"])
+
+    return texts.mapInArrow(run, "class long, hashes binary")
+
+
+def texts_of(members: DataFrame, classes: DataFrame, docs: DataFrame, have: DataFrame | None) -> DataFrame:
+    """``have`` and one text of each of ``members`` that is not in it; rows repeated with the same id
     and text count once. The classes are written first: if they are few, no text is shuffled."""
-    members = pairs.select("a").union(pairs.select("b")).toDF("class").distinct()
+    members = members.distinct()
     if have is not None:
         members = members.join(have.select("class"), "class", "left_anti")
     wanted = stage(classes.join(members, "class", "left_semi").select("class", "row_key", "text_key"), "wanted")
-    return stage(keyed(docs).join(wanted, ["row_key", "text_key"])
+    more = stage(keyed(docs).join(wanted, ["row_key", "text_key"])
                  .groupBy("class").agg(F.first("text").alias("text")), "texts")
+    return more if have is None else have.union(more)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -292,6 +452,24 @@ def apart(pairs: DataFrame, stars: DataFrame) -> DataFrame:
     )
 
 
+def recolored(rows: DataFrame, stars: DataFrame) -> DataFrame:
+    """Rows with ``color``, the root of their class's component."""
+    return rows.join(stars.toDF("class", "root"), "class", "left") \
+        .withColumn("color", F.coalesce("root", "class")).drop("root")
+
+
+def mixed_nodes(rows: DataFrame, level: int = 0) -> DataFrame:
+    """Rows of nodes with more than one colour, with what is known of the node."""
+    orders = [F.xxhash64("class", F.lit(level), F.lit(k)) for k in range(PIVOTS)]
+    colors = rows.groupBy("node", "color").agg(F.count("*").alias("n"), F.min_by("class", orders[0]).alias("class"))
+    nodes = colors.groupBy("node").agg(
+        F.sum("n").alias("node_size"), F.max("n").alias("dominant_size"),
+        F.max_by("color", F.struct("n", "color")).alias("dominant"),
+        F.array_distinct(F.array(*[F.min_by("class", o) for o in orders])).alias("pivots"), F.count("*").alias("colors"),
+    ).filter("colors > 1").drop("colors").withColumn("pivots", F.when(F.expr(LARGE), F.col("pivots")))
+    return rows.join(nodes, "node")
+
+
 def linked(classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """node and root: the components that the trees' links make of the classes."""
     tokens = F.posexplode("tokens").alias("tree", "token")
@@ -300,38 +478,38 @@ def linked(classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     texts, stars, tested, level = None, None, None, 0
     while True:
         rows = stage(rows, "rows") if level else rows
-        orders = [F.xxhash64("class", F.lit(level), F.lit(k)) for k in range(PIVOTS)]
-        if level:
-            colors = rows.groupBy("node", "color").agg(
-                F.count("*").alias("n"), F.min_by("class", orders[0]).alias("class"))
-        else:  # every class has a colour of its own
-            colors = rows.select("node", "color", F.lit(1).cast("long").alias("n"), "class")
-        nodes = colors.groupBy("node").agg(
-            F.sum("n").alias("node_size"), F.max("n").alias("dominant_size"),
-            F.max_by("color", "n").alias("dominant"),
-            F.array_distinct(F.array(*[F.min_by("class", o) for o in orders])).alias("pivots"),
-            F.min("color").alias("lowest"), F.max("color").alias("highest"),
-        ).filter("lowest <> highest").drop("lowest", "highest")
-        live = stage(rows.join(nodes, "node"), "live")
-        pairs = pairs_in_small_nodes(live).union(pairs_with_minority(live)) \
+        live = stage(mixed_nodes(rows, level), "live")
+        # First pass: the nearest ones and the pivots.
+        small = stage(nearest_in_small_nodes(live), "small")
+        pairs = small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), "agree") \
             .union(pairs_with_pivots(live, classes)).groupBy("a", "b").agg(F.max("agree").alias("agree"))
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
         tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
-        more = texts_of(pairs, classes, docs, texts)
-        texts = more if texts is None else texts.union(more)
+        texts = texts_of(pairs.select("a").union(pairs.select("b")).toDF("class"), classes, docs, texts)
         nearest = stage(nearest_pairs(pairs), "nearest")
         stars = joined(stars, stage(confirmed(nearest, texts, size), "links"))
         others = stage(apart(pairs.join(nearest, ["a", "b"], "left_anti"), stars), "others")
         if not others.isEmpty():
             stars = joined(stars, stage(confirmed(others, texts, size), "links"))
-        large = live.filter(BRANCHING)
+        # Second pass: all that is left in nodes nearly of one colour.
+        columns = ("node", "class", "n_shingles", "sketch")
+        large = stage(mixed_nodes(recolored(live.filter(LARGE).select(*columns), stars), level), "large")
+        left = mixed_nodes(recolored(small.select("node", F.col("a").alias("class")).distinct(), stars))
+        left = stage(facing(left).union(
+            contested(facing(large, "n_shingles", "sketch"))), "contested")
+        if not left.isEmpty():
+            texts = texts_of(left.select("class"), classes, docs, texts)
+            sets = stage(hashed_sets(texts.join(left.select("class").distinct(), "class", "left_semi"), size), "sets")
+            links = stage(uniting_links(left.join(sets, "class")), "links")
+            stars = joined(stars, stage(confirmed(links, texts, size), "links"))
+        large = large.filter(BRANCHING)
         if large.isEmpty():
             return stars
-        colored = large.join(stars.toDF("class", "root"), "class", "left") \
-            .withColumn("color", F.coalesce("root", "class"))
-        rows = branched(colored, level)
+        # Pivots are those that the first pass compared.
+        pivots = live.filter(LARGE).select("node", "pivots").distinct()
+        rows = branched(recolored(large.drop("pivots").join(pivots, "node"), stars), level)
         level += 1
 
 
