@@ -174,7 +174,9 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     found = None
     for block in range(blocks):
         part = weighted.filter(F.col("block") == block).select("query_id", "query", "terms").toArrow()
-        hits = stage(index.mapInArrow(searcher(spark.sparkContext.broadcast(part), mean_length, k), HITS), "hits")
+        held = spark.sparkContext.broadcast(part)
+        hits = stage(index.mapInArrow(searcher(held, mean_length, k), HITS), "hits")
+        held.destroy()
         found = hits if found is None else found.union(hits)
     best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), F.asc_nulls_first("doc_id"))
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k) \
