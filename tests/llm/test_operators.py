@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import math
+import random
 import zlib
 
 import public_tokenizers
@@ -134,24 +135,41 @@ def test_token_files_round_trip(spark, odd, tmp_path):
     assert len(token_files.ids_of_document(spark, target, 10)) == 2
 
 
+def check_near_duplicates(docs, size):
+    """The components against those of all pairs of texts."""
+    rows = near_dedup.near_duplicates(docs, size).collect()
+    texts = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    sets = [near_dedup.shingles(t, size) for _, t in texts]
+    group = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            common = len(sets[a] & sets[b])
+            if group[a] != group[b] and common and 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+                old, new = group[a], group[b]
+                group = [new if g == old else g for g in group]
+    least = {}
+    for g, (i, _) in zip(group, texts):
+        if i is not None:
+            least[g] = min(i, least.get(g, i))
+    assert sorted(map(repr, ((i, least.get(g)) for g, (i, _) in zip(group, texts)))) == \
+        sorted(repr((r["doc_id"], r["component_id"])) for r in rows)
+    return least
+
+
 def test_near_duplicates_equal_brute_force(odd, small):
     for docs, size in ((odd, 2), (small, 5)):
-        rows = near_dedup.near_duplicates(docs, size).collect()
-        texts = [(r["doc_id"], r["text"]) for r in docs.collect()]
-        sets = [near_dedup.shingles(t, size) for _, t in texts]
-        group = list(range(len(texts)))
-        for a in range(len(texts)):
-            for b in range(a):
-                common = len(sets[a] & sets[b])
-                if common and 100 * common >= 80 * len(sets[a] | sets[b]):
-                    old, new = group[a], group[b]
-                    group = [new if g == old else g for g in group]
-        least = {}
-        for g, (i, _) in zip(group, texts):
-            if i is not None:
-                least[g] = min(i, least.get(g, i))
-        assert sorted(map(repr, ((i, least.get(g)) for g, (i, _) in zip(group, texts)))) == \
-            sorted(repr((r["doc_id"], r["component_id"])) for r in rows)
+        check_near_duplicates(docs, size)
+
+
+def test_near_duplicates_in_a_crowd_around_the_threshold(spark, monkeypatch):
+    """More variants of one text than a node compares, many just under the threshold."""
+    draw = random.Random(3)
+    base = [f"w{k}" for k in range(100)]
+    crowd = [(k, " ".join(f"x{draw.randrange(9999)}" if draw.random() < share else w for w in base))
+             for k in range(600) for share in [draw.choice((0.01, 0.05, 0.08, 0.12))]]
+    docs = spark.createDataFrame(crowd, "doc_id long, text string")
+    monkeypatch.setattr(near_dedup, "BUCKET", 50)
+    assert 10 < len(check_near_duplicates(docs, 2)) < 500
 
 
 def test_near_dedup_stage_keeps_one_row_of_each_group(spark, odd, sf_dir):
