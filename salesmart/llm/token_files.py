@@ -7,8 +7,8 @@ beside the blocks. To read one short document, only its block's index and its ow
 decoded. Blocks ascend by doc_id in and across files; ``part`` and ``ids_before`` say where a
 block's ids begin.
 
-The dictionary is trained on about ``DICTIONARY_ROWS`` documents of at most ``DICTIONARY_TEXT``
-bytes, spread over the table; it changes the size of the files, never what they hold.
+The dictionary is trained on about ``DICTIONARY_ROWS`` documents spread over the table, of which
+those of at most ``DICTIONARY_TEXT`` bytes are used; it changes the size of the files, never what they hold.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -75,6 +76,12 @@ class WordIds(ByteBpe):
                 for k, (a, n) in enumerate(zip(table.starts, table.lengths, strict=True))]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> WordIds:
+    """One encoder for each Python worker, which goes on to the next task with what it remembers."""
+    return WordIds(path)
+
+
 def serialized(ids: np.ndarray, width: int) -> bytes:
     return ids.astype(f"<u{width}").tobytes()
 
@@ -85,13 +92,13 @@ def codec(dictionary: bytes) -> dict:
 
 def train_dictionary(docs: DataFrame, path: str, width: int, end_id: int) -> bytes:
     """A dictionary from the id arrays of sampled short documents; empty if there are too few."""
-    short = docs.filter(F.octet_length("text").between(1, DICTIONARY_TEXT)).select("text")
-    rows = short.count()
-    sample = short.sample(fraction=min(1.0, DICTIONARY_ROWS / max(1, rows)), seed=7)
-    texts = [r["text"] for r in sample.limit(2 * DICTIONARY_ROWS).collect()]
+    rows = docs.count()  # from the files' footers, without reading a text
+    sample = docs.select("text").sample(fraction=min(1.0, DICTIONARY_ROWS / max(1, rows)), seed=7)
+    short = sample.filter(F.octet_length("text").between(1, DICTIONARY_TEXT))
+    texts = [r["text"] for r in short.limit(2 * DICTIONARY_ROWS).collect()]
     if len(texts) < 20:
         return b""
-    samples = [serialized(np.append(ids, end_id), width) for ids in WordIds(path).encode_each(texts)]
+    samples = [serialized(np.append(ids, end_id), width) for ids in encoder_of(path).encode_each(texts)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # the samples are too small or too alike to train on
@@ -117,7 +124,7 @@ def write_ids(docs: DataFrame, path: str, target: str, end_id: int = END_ID) ->
         .write.parquet(f"{target}/dictionary")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, encoder = TaskContext.get().partitionId(), WordIds(path)
+        part, encoder = TaskContext.get().partitionId(), encoder_of(path)
         compressor = zstandard.ZstdCompressor(level=LEVEL, **codec(dictionary))
         written, number = 0, 0
         for batch in by_bytes(batches, limit=BLOCK_BYTES):
