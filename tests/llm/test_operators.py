@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from salesmart.llm import bm25, bpe, language, near_dedup, packing, quality_model, quality_rules
+from salesmart.llm import bm25, bpe, components, language, near_dedup, packing, quality_model, quality_rules
 from salesmart.llm import sharding, suffix_dedup, token_files
 from salesmart.llm.queries import ORACLE, QUERIES
 from tests.oracle import connect, difference
@@ -179,6 +179,17 @@ def test_near_dedup_stage_keeps_one_row_of_each_group(spark, odd, sf_dir):
     assert texts.count("A short text, here.") == 1 and texts.count(PASSAGE + " tail one") == 1
 
 
+@pytest.mark.parametrize("share", [10, 10_000])
+def test_components_of_one_or_many_shares(spark, monkeypatch, share):
+    """A long path, a star, a cycle with repeated edges and nodes in falling order."""
+    edges = [(k, k + 1) for k in range(100, 140)] + [(500, k) for k in range(501, 530)]
+    edges += [(k + 1, k) for k in range(900, 920)] + [(900, 920)] * 3
+    monkeypatch.setattr(components, "EDGES_A_TASK", share)
+    found = components.components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()
+    expected = {k: 100 for k in range(101, 141)} | {k: 500 for k in range(501, 530)} | {k: 900 for k in range(901, 921)}
+    assert len(found) == len(expected) and {r["node"]: r["root"] for r in found} == expected
+
+
 def test_suffix_dedup_equals_brute_force(odd):
     rows = suffix_dedup.remove_repeats(odd).select("row.text", "cut.*").collect()
     texts = [(t or "").encode() for _, t in ODD]
