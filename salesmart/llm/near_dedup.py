@@ -52,6 +52,7 @@ TOKENS = 4
 LEVELS = 10
 PERCENT = 80
 MEMO_WORDS = 300_000
+MARKS = 1 << 19
 BLOCK_ROWS = 64
 BLOCK_HASHES = 20_000
 
@@ -343,6 +344,17 @@ class Few:
                     yield member[cut][one[k]], self.member[two[k]]
 
 
+def different(rows: DataFrame) -> DataFrame:
+    """``facing`` rows without the nodes and buckets that hold the same rows as another, as the same
+    few classes often meet in several trees."""
+    place = F.struct("node", "bucket")
+    content = rows.groupBy("node", "bucket").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("class", "color", "few")).alias("one"),
+        F.bit_xor(F.xxhash64(F.lit(1), "class", "color", "few")).alias("two"))
+    first = content.groupBy("n", "one", "two").agg(F.min(place).alias("place")).select("place.*")
+    return rows.join(first, ["node", "bucket"], "left_semi")
+
+
 def uniting_links(rows: DataFrame) -> DataFrame:
     """Links between colours, decided on full sets, of contested rows with their ``hashes``."""
 
@@ -386,11 +398,25 @@ def texts_of(members: DataFrame, classes: DataFrame, docs: DataFrame, have: Data
     if have is not None:
         members = members.join(have.select("class"), "class", "left_anti")
     wanted = stage(classes.join(members, "class", "left_semi").select("class", "row_key", "text_key"), "wanted")
-    more = stage(keyed(docs).join(wanted, ["row_key", "text_key"])
+    more = stage(likely(keyed(docs), wanted).join(wanted, ["row_key", "text_key"])
                  .groupBy("class").agg(F.first("text").alias("text")), "texts")
     return more if have is None else have.union(more)
 
 
+def likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``row_key`` may be in ``wanted``, so that a join moves few other texts.
+
+    A bitmap of MARKS words of 64 bits marks the wanted keys; however many they are, it has no more
+    rows than that, which is what bounds the broadcast. Each wanted row stays; where the bitmap is
+    full, so do the others, and the join that follows drops them.
+    """
+    word = F.pmod(F.shiftrightunsigned("row_key", 6), F.lit(MARKS))
+    bit = F.expr("shiftleft(1L, CAST(row_key & 63 AS INT))")
+    words = wanted.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    return rows.join(F.broadcast(words), word == F.col("word")).filter(F.col("bits").bitwiseAND(bit) != 0) \
+        .drop("word", "bits")
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
 
@@ -410,8 +436,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([c[k] for k in good], pa.int64()) for c in (a, b)], names=["a", "b"])
 
+    # Where the pairs are few, the texts of others stay where they are.
+    seconds = texts.toDF("b", "text_b").join(pairs.select("b"), "b", "left_semi")
     return (
-        pairs.select("a", "b").join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+        pairs.select("a", "b").join(texts.toDF("a", "text_a"), "a").join(seconds, "b")
         .mapInArrow(run, PAIRS)
     )
 
@@ -500,8 +528,10 @@ def linked(classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
         left = stage(facing(left).union(
             contested(facing(large, "n_shingles", "sketch"))), "contested")
         if not left.isEmpty():
-            texts = texts_of(left.select("class"), classes, docs, texts)
-            sets = stage(hashed_sets(texts.join(left.select("class").distinct(), "class", "left_semi"), size), "sets")
+            left = stage(different(left), "different")
+            members = stage(left.select("class").distinct(), "members")
+            texts = texts_of(members, classes, docs, texts)
+            sets = stage(hashed_sets(texts.join(members, "class", "left_semi"), size), "sets")
             links = stage(uniting_links(left.join(sets, "class")), "links")
             stars = joined(stars, stage(confirmed(links, texts, size), "links"))
         large = large.filter(BRANCHING)
