@@ -56,12 +56,11 @@ def components(edges: DataFrame) -> DataFrame:
     """For nodes of ``edges`` (a, b, two different longs): node and its component's least node,
     for all nodes but the least ones themselves.
 
-    Each task first replaces its share of the edges by a forest. If there is but one share, its
+    ``edges`` is read twice, so pass scans of tables. Each task first replaces its share of the edges by a forest. If there is but one share, its
     forest is the result; the forests of several are tied together by stars.
     """
-    current = stage(edges.select("a", "b"), "edges")
-    shares = max(1, -(-current.count() // EDGES_A_TASK))
-    current = stage(current.coalesce(shares).mapInArrow(forests, "a long, b long"), "edges")
+    shares = max(1, -(-edges.count() // EDGES_A_TASK))
+    current = stage(edges.select("a", "b").coalesce(shares).mapInArrow(forests, "a long, b long"), "edges")
     seen = None
     while shares > 1:
         mark = current.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()

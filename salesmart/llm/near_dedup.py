@@ -394,7 +394,6 @@ def hashed_sets(texts: DataFrame, size: int) -> DataFrame:
 def texts_of(members: DataFrame, classes: DataFrame, docs: DataFrame, have: DataFrame | None) -> DataFrame:
     """``have`` and one text of each of ``members`` that is not in it; rows repeated with the same id
     and text count once. The classes are written first: if they are few, no text is shuffled."""
-    members = members.distinct()
     if have is not None:
         members = members.join(have.select("class"), "class", "left_anti")
     wanted = stage(classes.join(members, "class", "left_semi").select("class", "row_key", "text_key"), "wanted")
@@ -529,9 +528,8 @@ def linked(classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
             contested(facing(large, "n_shingles", "sketch"))), "contested")
         if not left.isEmpty():
             left = stage(different(left), "different")
-            members = stage(left.select("class").distinct(), "members")
-            texts = texts_of(members, classes, docs, texts)
-            sets = stage(hashed_sets(texts.join(members, "class", "left_semi"), size), "sets")
+            texts = texts_of(left.select("class"), classes, docs, texts)
+            sets = stage(hashed_sets(texts.join(left.select("class"), "class", "left_semi"), size), "sets")
             links = stage(uniting_links(left.join(sets, "class")), "links")
             stars = joined(stars, stage(confirmed(links, texts, size), "links"))
         large = large.filter(BRANCHING)
