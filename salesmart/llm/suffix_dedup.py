@@ -20,11 +20,15 @@ all others follow it:
 Buckets are named by hashes of content, so sorting is grouping, on shuffles with partial
 aggregation, and a passage that every document has costs no task more than another. What decides
 on removal is 128 bits of hash; the 64-bit bucket names only choose what to look at further.
+
+The query reads bytes. The pipeline stage reads words: its passages are 51 words and more, however
+many bytes those take, and each word is one number in place of a byte (``WORDS``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -34,20 +38,72 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import by_bytes, documents
+from salesmart.llm.near_dedup import MEMO_WORDS, WordHashes, mixed
 from salesmart.staging import stage
 
 LENGTH = 400
-GRAM = 64
-WINDOWS = LENGTH - GRAM + 1
-#: Distances from the anchor are cut at multiples of these, level after level.
-WIDTHS = (42, 6, 1)
+#: The least number of words of a passage that the pipeline removes.
+LENGTH_WORDS = 51
+#: A longer word counts as one word for each character, as in scripts without spaces.
+LONG_WORD = 32
 #: Windows of a long document that are hashed at once.
 SEGMENT = 1 << 18
 POSITION_BITS = 20
 
 
+def word_edges(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text begin and end, in bytes."""
+    found = np.frombuffer(data, np.uint8)
+    inside = np.concatenate([[False], (found != 32) & ((found < 9) | (found > 13)), [False]])
+    begin, end = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(~inside[1:] & inside[:-1])
+    long = np.flatnonzero(end - begin > LONG_WORD)
+    if len(long):
+        starts = np.zeros(len(found) + 1, bool)
+        starts[begin] = True
+        stops = np.zeros(len(found) + 1, bool)
+        stops[end] = True
+        for b, e in zip(begin[long], end[long], strict=True):
+            starts[b:e] = found[b:e] & 0xC0 != 0x80
+            stops[b + 1:e] = starts[b + 1:e]
+        begin, end = np.flatnonzero(starts), np.flatnonzero(stops)
+    return begin, end
+
+
+@dataclass(frozen=True)
+class Passages:
+    """What counts as a passage: ``length`` units, and how its windows are anchored and cut."""
+
+    words: bool
+    length: int
+    gram: int
+    #: Distances from the anchor are cut at multiples of these, level after level.
+    widths: tuple[int, ...]
+
+    @property
+    def windows(self) -> int:
+        return self.length - self.gram + 1
+
+    @property
+    def dtype(self) -> type:
+        return np.uint64 if self.words else np.uint8
+
+    def units(self, text: str, memo: WordHashes) -> np.ndarray:
+        data = text.encode()
+        if not self.words:
+            return np.frombuffer(data, np.uint8)
+        if len(memo) > MEMO_WORDS:
+            memo.clear()
+        begin, end = word_edges(data)
+        found = (memo[data[b:e]] for b, e in zip(begin.tolist(), end.tolist(), strict=True))
+        return np.fromiter(found, np.uint64, len(begin))
+
+
+BYTES = Passages(words=False, length=LENGTH, gram=64, widths=(42, 6, 1))
+WORDS = Passages(words=True, length=LENGTH_WORDS, gram=8, widths=(6, 1))
+
+
 class Hashes:
-    """Two polynomial hashes of any substring of a piece of text, from prefix sums modulo 2^64."""
+    """Two polynomial hashes of any run of units of a text, from prefix sums modulo 2^64."""
 
     def __init__(self, size: int = SEGMENT + 2 * LENGTH):
         random = np.random.default_rng(3)
@@ -64,7 +120,9 @@ class Hashes:
         return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size - 1, base, np.uint64))])
 
     def prefixes(self, data: np.ndarray, which: int) -> np.ndarray:
-        terms = self.tables[which][data] * self.powers[which][:len(data)]
+        table = self.tables[which]
+        values = table[data] if data.dtype == np.uint8 else mixed(data ^ table[0]) | np.uint64(1)
+        terms = values * self.powers[which][:len(data)]
         return np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])
 
     def between(self, prefixes: np.ndarray, begin: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
@@ -82,19 +140,20 @@ def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:count], ahead[width - 1:width - 1 + count])
 
 
-def blocks_of(data: np.ndarray, hashes: Hashes) -> Iterator[tuple[np.ndarray, ...]]:
+def blocks_of(data: np.ndarray, hashes: Hashes, passages: Passages) -> Iterator[tuple[np.ndarray, ...]]:
     """Blocks of a text's windows: first and last window, anchor, bucket, two outer hashes."""
-    for offset in range(0, len(data) - LENGTH + 1, SEGMENT):
-        part = data[offset:offset + SEGMENT + LENGTH - 1]
+    length, gram, windows = passages.length, passages.gram, passages.windows
+    for offset in range(0, len(data) - length + 1, SEGMENT):
+        part = data[offset:offset + SEGMENT + length - 1]
         first, second = hashes.prefixes(part, 0), hashes.prefixes(part, 1)
-        at = np.arange(len(part) - GRAM + 1)
-        grams = hashes.between(first, at, at + GRAM, 0)
+        at = np.arange(len(part) - gram + 1)
+        grams = hashes.between(first, at, at + gram, 0)
         # The leftmost of equal values is the anchor: the low bits hold the place.
         low = np.uint64((1 << POSITION_BITS) - 1)
-        anchors = (least_in_windows((grams & ~low) | at.astype(np.uint64), WINDOWS) & low).astype(np.int64)
+        anchors = (least_in_windows((grams & ~low) | at.astype(np.uint64), windows) & low).astype(np.int64)
         begin = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
         end = np.append(begin[1:], len(anchors)) - 1
-        outer = [hashes.between(p, begin, end + LENGTH, k) for k, p in enumerate((first, second))]
+        outer = [hashes.between(p, begin, end + length, k) for k, p in enumerate((first, second))]
         yield begin + offset, end + offset, anchors[begin] + offset, grams[anchors[begin]], *outer
 
 
@@ -109,29 +168,29 @@ def blocks_batch(keys: pa.Array, context, anchor, first, last, *hashes: np.ndarr
     return pa.RecordBatch.from_arrays([keys, *ints, *longs], names=NAMES)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """Texts that hold a window, under a key of their content."""
+def keyed(docs: DataFrame, passages: Passages) -> DataFrame:
+    """Texts that may hold a window (a unit has a byte at least), under a key of their content."""
     return docs.select(F.unhex(F.md5("text")).alias("text_key"), "text") \
-        .filter(F.octet_length("text") >= LENGTH)
+        .filter(F.octet_length("text") >= passages.length)
 
 
-def first_blocks(texts: DataFrame) -> DataFrame:
+def first_blocks(texts: DataFrame, passages: Passages) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = Hashes(), set()
+        hashes, seen, memo = Hashes(), set(), WordHashes()
         for batch in by_bytes(batches):
             for key, text in zip(batch.column("text_key").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if key in seen:  # the same text gives the same blocks
                     continue
                 seen.add(key)
-                for first, last, anchor, *found in blocks_of(np.frombuffer(text.encode(), np.uint8), hashes):
+                for first, last, anchor, *found in blocks_of(passages.units(text, memo), hashes, passages):
                     keys = pa.array([key] * len(first), pa.binary())
                     yield blocks_batch(keys, first, anchor, first, last, *found)
 
     return texts.mapInArrow(run, BLOCKS)
 
 
-def refined(contexts: DataFrame, width: int) -> DataFrame:
-    """Blocks of ``width`` distances. ``contexts`` has text_key, context, anchor, data (the bytes
+def refined(contexts: DataFrame, width: int, passages: Passages) -> DataFrame:
+    """Blocks of ``width`` distances. ``contexts`` has text_key, context, anchor, data (the units
     from window ``context`` on) and blocks (first and last windows)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,8 +198,8 @@ def refined(contexts: DataFrame, width: int) -> DataFrame:
         for batch in by_bytes(batches, "data", SEGMENT // 2):
             rows = batch.to_pylist()
             # The contexts of a batch lie one after the other; hashes do not depend on the place.
-            data = np.frombuffer(b"".join(r["data"] for r in rows), np.uint8)
-            sizes = np.array([len(r["data"]) for r in rows])
+            data = np.frombuffer(b"".join(r["data"] for r in rows), passages.dtype)
+            sizes = np.array([len(r["data"]) for r in rows]) // data.itemsize
             shift = np.cumsum(sizes) - sizes - np.array([r["context"] for r in rows])
             blocks = [(k, b["first"], b["last"]) for k, r in enumerate(rows) for b in r["blocks"]]
             owner, first, last = np.array(blocks, np.int64).T
@@ -156,8 +215,8 @@ def refined(contexts: DataFrame, width: int) -> DataFrame:
             at = shift[owner]
             p1, p2 = hashes.prefixes(data, 0), hashes.prefixes(data, 1)
             # What all windows of the whole cell share, though this block may lack some of them.
-            bucket = hashes.between(p1, at + anchor - near, at + anchor - far + LENGTH, 0)
-            outer = [hashes.between(p, at + first, at + last + LENGTH, k) for k, p in enumerate((p1, p2))]
+            bucket = hashes.between(p1, at + anchor - near, at + anchor - far + passages.length, 0)
+            outer = [hashes.between(p, at + first, at + last + passages.length, k) for k, p in enumerate((p1, p2))]
             keys = batch.column("text_key").take(pa.array(owner))
             yield blocks_batch(keys, batch.column("context").take(pa.array(owner)), anchor, first, last, bucket, *outer)
 
@@ -193,21 +252,21 @@ def open_blocks(blocks: DataFrame) -> DataFrame:
         F.first("anchor").alias("anchor"), F.sort_array(F.collect_set(F.struct("first", "last"))).alias("blocks"))
 
 
-def contexts_of(texts: DataFrame, undecided: DataFrame) -> DataFrame:
-    """The bytes of all windows of each undecided block of the first level."""
+def contexts_of(texts: DataFrame, undecided: DataFrame, passages: Passages) -> DataFrame:
+    """The units, as bytes, of all windows of each undecided block of the first level."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
+        seen, memo = set(), WordHashes()
         for batch in by_bytes(batches):
             for row in batch.to_pylist():
                 if row["text_key"] in seen:
                     continue
                 seen.add(row["text_key"])
-                data, found = row["text"].encode(), row["found"]
+                data, found = passages.units(row["text"], memo), row["found"]
                 begin = [f["context"] for f in found]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([row["text_key"]] * len(found), pa.binary()), pa.array(begin, pa.int32()),
-                    pa.array([data[f["context"]:f["upto"] + LENGTH] for f in found], pa.binary()),
+                    pa.array([data[f["context"]:f["upto"] + passages.length].tobytes() for f in found], pa.binary()),
                 ], names=["text_key", "context", "data"])
 
     by_text = undecided.groupBy("text_key").agg(F.collect_list(
@@ -216,18 +275,18 @@ def contexts_of(texts: DataFrame, undecided: DataFrame) -> DataFrame:
         .groupBy("text_key", "context").agg(F.first("data").alias("data"))
 
 
-def repeated_windows(docs: DataFrame) -> DataFrame:
+def repeated_windows(docs: DataFrame, passages: Passages) -> DataFrame:
     """text_key and spans: first and last of runs of windows that occur elsewhere.
 
     All windows of a text that several rows have are repeated; those rows are marked by
     ``copied`` and need no spans.
     """
-    texts = keyed(docs)
-    found = [decided(stage(first_blocks(texts), "blocks"))]
+    texts = keyed(docs, passages)
+    found = [decided(stage(first_blocks(texts, passages), "blocks"))]
     undecided = stage(open_blocks(found[0]), "open")
-    contexts = stage(contexts_of(texts, undecided), "contexts")
-    for width in WIDTHS:
-        blocks = stage(refined(contexts.join(undecided, ["text_key", "context"]), width), "blocks")
+    contexts = stage(contexts_of(texts, undecided, passages), "contexts")
+    for width in passages.widths:
+        blocks = stage(refined(contexts.join(undecided, ["text_key", "context"]), width, passages), "blocks")
         found.append(decided(blocks))
         undecided = open_blocks(found[-1])
     spans = reduce(DataFrame.union, found).filter("repeated").groupBy("text_key") \
@@ -236,23 +295,26 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     return stage(spans.join(copied, "text_key", "full"), "spans")
 
 
-def with_spans(docs: DataFrame) -> DataFrame:
+def with_spans(docs: DataFrame, passages: Passages) -> DataFrame:
     """``docs`` as struct ``row`` with ``spans`` and ``copied`` of its text, NULL where it has none."""
     rows = docs.select(F.struct("*").alias("row")).withColumn("text_key", F.unhex(F.md5("row.text")))
-    return rows.join(repeated_windows(docs), "text_key", "left")
+    return rows.join(repeated_windows(docs, passages), "text_key", "left")
 
 
-def removed(size: int, spans: list | None, copied: bool | None) -> list[tuple[int, int]]:
+def removed(data: bytes, spans: list | None, copied: bool, passages: Passages) -> list[tuple[int, int]]:
     """Maximal runs of bytes to remove, from begin to end."""
-    if copied:
-        return [(0, size)]
+    if spans is None and not copied:
+        return []
+    begins, ends = word_edges(data) if passages.words else (range(len(data)), range(1, len(data) + 1))
+    if copied and len(begins) >= passages.length:
+        return [(int(begins[0]), int(ends[-1]))]
     runs: list[tuple[int, int]] = []
     for begin, last in sorted((s["first"], s["last"]) for s in (() if spans is None else spans)):
         if runs and begin <= runs[-1][1]:
-            runs[-1] = (runs[-1][0], max(runs[-1][1], last + LENGTH))
+            runs[-1] = (runs[-1][0], max(runs[-1][1], last + passages.length))
         else:
-            runs.append((begin, last + LENGTH))
-    return runs
+            runs.append((begin, last + passages.length))
+    return [(int(begins[a]), int(ends[b - 1])) for a, b in runs]
 
 
 def kept_bytes(data: bytes, runs: list[tuple[int, int]]) -> bytes:
@@ -260,14 +322,14 @@ def kept_bytes(data: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(data[a:b] for a, b in zip(ends, [*(b for b, _ in runs), len(data)], strict=True))
 
 
-def cut(text: Column, spans: Column, copied: Column) -> Column:
+def cut(text: Column, spans: Column, copied: Column, passages: Passages) -> Column:
     """n_bytes, n_removed, n_spans and kept (the bytes that remain) of a text."""
 
     def run(texts: pd.Series, spans: pd.Series, copied: pd.Series) -> pd.DataFrame:
         rows = []
         for t, s, c in zip(texts, spans, copied, strict=True):
             data = (t or "").encode()
-            runs = removed(len(data), s, c is True)
+            runs = removed(data, s, bool(c), passages)
             rows.append((len(data), sum(b - a for a, b in runs), len(runs), kept_bytes(data, runs)))
         return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept"])
 
@@ -275,14 +337,16 @@ def cut(text: Column, spans: Column, copied: Column) -> Column:
     return F.pandas_udf(run, schema)(text, spans, F.coalesce(copied, F.lit(False)))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, passages: Passages = BYTES) -> DataFrame:
     """All rows of ``docs`` as struct ``row``, with ``cut`` (see there).
 
     Every byte covered by a 400-byte string that also starts elsewhere goes, whether in another
-    row, in the same one, or in a repeated row; strings are judged on the input. A NULL text is
+    row, in the same one, or in a repeated row; strings are judged on the input. With ``WORDS``
+    the strings are 51 words, whatever white space is between them. A NULL text is
     empty and loses nothing. Ids are not looked at; all input columns are kept in the struct.
     """
-    return with_spans(docs).select("row", cut(F.col("row.text"), F.col("spans"), F.col("copied")).alias("cut"))
+    found = cut(F.col("row.text"), F.col("spans"), F.col("copied"), passages)
+    return with_spans(docs, passages).select("row", found.alias("cut"))
 
 
 def readable(kept: Column) -> Column:
@@ -294,9 +358,9 @@ def readable(kept: Column) -> Column:
 
 
 def suffix_dedup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: every document without its repeated passages. A text that is left empty
+    """Pipeline stage: every document without its passages of over 50 words that repeat. A text that is left empty
     stays as an empty text, a NULL text as NULL; n_chars counts what is left."""
-    rows = remove_repeats(docs).withColumn(
+    rows = remove_repeats(docs, WORDS).withColumn(
         "text", F.when(F.col("row.text").isNotNull(), readable(F.col("cut.kept"))))
     fresh = {"text": F.col("text"), "n_chars": F.char_length("text")}
     fields = docs.schema.fields

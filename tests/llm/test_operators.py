@@ -206,6 +206,38 @@ def test_suffix_dedup_equals_brute_force(odd):
     assert sorted(bytes(r["kept"]) for r in rows) == sorted(map(left, texts))
 
 
+def test_suffix_dedup_stage_removes_passages_of_over_50_words(spark, sf_dir):
+    """Passages of 48 to 70 words, of short and of long words, that otherwise different texts share."""
+    draw = random.Random(5)
+
+    def word(most):
+        return "".join(draw.choice("abcdefghij") for _ in range(draw.randint(1, most)))
+
+    texts = [None, "", "lone", "kept " * 50, "\u4e2d\u6587\u5b57\u8bcd" * 40, "head " + "\u4e2d\u6587\u5b57\u8bcd" * 40]
+    for count in (48, 50, 51, 52, 55, 60, 65, 70):
+        for most in (1, 9, 20):
+            passage = " ".join(word(most) for _ in range(count))
+            for _ in range(2):
+                texts.append(" ".join([*(word(12) + "X" for _ in range(draw.randint(0, 90))), passage,
+                                       *(word(12) + "Y" for _ in range(draw.randint(0, 90)))]))
+    spaced = " ".join(word(9) for _ in range(60))
+    texts += ["a  b\n" + spaced.replace(" ", "\n"), spaced + " end", "again", "again"]
+    split = [[c for w in (t or "").split() for c in ([w] if len(w.encode()) <= 32 else w)] for t in texts]
+    seen = collections.Counter(tuple(w[i:i + 51]) for w in split for i in range(len(w) - 50))
+
+    def left(units):
+        gone = set()
+        for i in range(len(units) - 50):
+            if seen[tuple(units[i:i + 51])] > 1:
+                gone.update(range(i, i + 51))
+        return "".join(u for i, u in enumerate(units) if i not in gone)
+
+    docs = spark.createDataFrame([(k, t, None) for k, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    found = {r["doc_id"]: r["text"] for r in suffix_dedup.suffix_dedup_stage(spark, docs, sf_dir).collect()}
+    assert found[0] is None and sum(len(left(u)) < sum(map(len, u)) for u in split) >= 36
+    assert {k: "".join((t or "").split()) for k, t in found.items()} == {k: left(u) for k, u in enumerate(split)}
+
+
 def test_search_equals_brute_force(odd):
     rows = bm25.search(odd, odd.filter("doc_id IN (1, 6, 10)"), 5).collect()
     terms = [(i, bm25.terms_of(t)) for i, t in ODD]
