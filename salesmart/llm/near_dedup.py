@@ -3,8 +3,8 @@
 Documents with equal shingle sets are one class. Every class walks down ``TREES`` trees. At the
 root of a tree it goes to the node of its least shingle under the tree's hash. A node of at most
 ``SMALL`` classes compares all its pairs. In a larger node all classes are compared with a few
-of them, the pivots, and then branch: the node chooses ``BRANCHES`` times ``TOKENS`` coordinates of
-the minwise sketch, and each class goes to the children named by its values there. Pairs of
+of them, the pivots, and then branch: the node chooses ``BRANCHES`` times ``TOKENS`` of the ``PATH``
+minwise bytes of its tree, and each class goes to the children named by its values there. Pairs of
 similarity 0.75 and less meet in less than one child (3 * 0.75^4 < 1), so they thin out; pairs of
 0.8 and more meet in more than one (3 * 0.8^4 > 1.2).
 
@@ -18,10 +18,12 @@ however many pairs a group has; they too are confirmed on the texts. A node's on
 are dealt out in buckets, each with a copy of the few. Other nodes branch. A task holds the sets
 of ``MINORITY`` classes at most.
 
-Recall: a tree's root keeps a pair of similarity j together with probability j, and the levels
-below with s = 1 - (1 - j^4 s)^3 at least, if their nodes stay large to the end. Ten trees find
-such a pair of 0.8 with 0.99, of 0.85 with 0.9998, of 0.9 with 1 - 1e-6; a pair whose nodes are
-small after the root with 1 - 0.2^10, whatever its similarity. The sketch rejects a pair of 0.8
+Recall: a tree's root keeps a pair of similarity j together with probability j. Below it, a pair
+whose paths agree in k of ``PATH`` bytes stays together with s = 1 - (1 - (k / PATH)^4 s)^3, level
+by level, if its nodes stay large. All levels of a tree share its path, so s is averaged over the
+binomial k; trees share nothing, so ten of them miss a pair with (1 - j s)^10. That finds a pair
+of 0.8 with 0.9989 after 3 levels, 0.9971 after 5 and 0.9939 after 10; of 0.85 after 10 with
+0.9999; a pair whose nodes are small after the root with 1 - 0.2^10 at least. The sketch rejects a pair of 0.8
 with about 5e-6. Nodes left after ``LEVELS`` levels are finished exactly, pivot by pivot.
 """
 
@@ -32,7 +34,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.bpe import gather
@@ -42,6 +44,8 @@ from salesmart.staging import stage
 
 TREES = 10
 SKETCH = 32
+#: Minwise bytes of each tree by which it branches, apart from the sketch and from other trees.
+PATH = 32
 AGREE = 15
 SMALL = 256
 MINORITY = 256
@@ -95,9 +99,12 @@ def shingles(text: str | None, size: int) -> set[tuple[bytes, ...]]:
 
 def describe(docs: DataFrame, size: int) -> DataFrame:
     """One row for each document: keys of the row and of its text, n_shingles, a key of its set,
-    one minwise token for each tree, and the sketch; the last three NULL without words."""
+    one minwise token for each tree, the sketch, and the trees' paths one after the other; the last
+    four NULL without words."""
 
     seeds = [np.uint64(xxhash.xxh3_64_intdigest(f"minwise {k}")) for k in range(TREES + SKETCH)]
+    # The hashes are well spread already; for the many path bytes a product with an odd number does.
+    odd = [np.uint64(xxhash.xxh3_64_intdigest(f"path {k}") | 1) for k in range(TREES * PATH)]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
@@ -110,22 +117,26 @@ def describe(docs: DataFrame, size: int) -> DataFrame:
             flat = np.concatenate([sets[k] for k in some]) if len(some) else np.zeros(0, np.uint64)
             starts = np.cumsum(sizes[some]) - sizes[some]
             least = [np.minimum.reduceat(mixed(flat ^ s), starts) if len(some) else flat for s in seeds]
-            tokens, sketch = [None] * len(sets), [None] * len(sets)
+            product = np.empty_like(flat)
+            tokens, sketch, paths = [None] * len(sets), [None] * len(sets), [None] * len(sets)
             if len(some):
                 all_tokens = np.stack(least[:TREES], 1).view(np.int64)
                 all_bytes = (np.stack(least[TREES:], 1) >> np.uint64(20)).astype(np.uint8)
-                for k, t, b in zip(some, all_tokens, all_bytes, strict=True):
-                    tokens[k], sketch[k] = t, b.tobytes()
+                all_paths = np.stack([
+                    (np.minimum.reduceat(np.multiply(flat, m, out=product), starts) >> np.uint64(20)).astype(np.uint8)
+                    for m in odd], 1)
+                for k, t, b, p in zip(some, all_tokens, all_bytes, all_paths, strict=True):
+                    tokens[k], sketch[k], paths[k] = t, b.tobytes(), p.tobytes()
             keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("row_key"), batch.column("text_key"),
                 pa.array(sizes), pa.array(keys, pa.binary()),
-                pa.array(tokens, pa.list_(pa.int64())), pa.array(sketch, pa.binary()),
-            ], names=["doc_id", "row_key", "text_key", "n_shingles", "set_key", "tokens", "sketch"])
+                pa.array(tokens, pa.list_(pa.int64())), pa.array(sketch, pa.binary()), pa.array(paths, pa.binary()),
+            ], names=["doc_id", "row_key", "text_key", "n_shingles", "set_key", "tokens", "sketch", "paths"])
 
     return keyed(docs).mapInArrow(
         run, "doc_id long, row_key long, text_key long, n_shingles long, set_key binary, "
-             "tokens array<long>, sketch binary")
+             "tokens array<long>, sketch binary, paths binary")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -445,19 +456,29 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
 
 
 def branched(large: DataFrame, level: int) -> DataFrame:
-    """Rows of large nodes in the children that their sketch chooses.
+    """Rows of large nodes in the children that the path of their tree chooses.
 
     After LEVELS levels nodes stay as they are and only lose the pivots, which have met all others.
     """
     if level >= LEVELS:
-        return large.filter(~F.array_contains("pivots", F.col("class"))).select("node", "class", "color", "n_shingles", "sketch")
+        return large.filter(~F.array_contains("pivots", F.col("class"))).select("node", "class", "color", "n_shingles", "sketch", "path")
     children = []
     for branch in range(BRANCHES):
         chosen = F.xxhash64("node", F.lit(level), F.lit(branch))
-        picks = [F.pmod(F.shiftrightunsigned(chosen, 8 * k), F.lit(SKETCH)).cast("int") for k in range(TOKENS)]
-        children.append(F.xxhash64(chosen, *[F.substring("sketch", p + 1, F.lit(1)) for p in picks]))
+        picks = [F.pmod(F.shiftrightunsigned(chosen, 8 * k), F.lit(PATH)).cast("int") for k in range(TOKENS)]
+        children.append(F.xxhash64(chosen, *[F.substring("path", p + 1, F.lit(1)) for p in picks]))
     children = F.array(*children)
-    return large.select(F.explode(children).alias("node"), "class", "color", "n_shingles", "sketch")
+    return large.select(F.explode(children).alias("node"), "class", "color", "n_shingles", "sketch", "path")
+
+
+def path_of(tree: str) -> Column:
+    """The part of ``paths`` by which a tree branches."""
+    return F.substring("paths", F.col(tree) * PATH + 1, F.lit(PATH))
+
+
+def with_path(rows: DataFrame, needed: str) -> DataFrame:
+    """Rows that keep their path only where it is ``needed``."""
+    return rows.withColumn("path", F.when(F.expr(needed), F.col("path")))
 
 
 def nearest_pairs(pairs: DataFrame) -> DataFrame:
@@ -501,12 +522,13 @@ def mixed_nodes(rows: DataFrame, level: int = 0) -> DataFrame:
 def linked(classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """node and root: the components that the trees' links make of the classes."""
     tokens = F.posexplode("tokens").alias("tree", "token")
-    rows = classes.select(tokens, "class", "n_shingles", "sketch").select(
-        F.xxhash64("tree", "token").alias("node"), "class", F.col("class").alias("color"), "n_shingles", "sketch")
+    rows = classes.select(tokens, "class", "n_shingles", "sketch", "paths").select(
+        F.xxhash64("tree", "token").alias("node"), "class", F.col("class").alias("color"), "n_shingles", "sketch",
+        path_of("tree").alias("path"))
     texts, stars, tested, level = None, None, None, 0
     while True:
         rows = stage(rows, "rows") if level else rows
-        live = stage(mixed_nodes(rows, level), "live")
+        live = stage(with_path(mixed_nodes(rows, level), LARGE), "live")
         # First pass: the nearest ones and the pivots.
         small = stage(nearest_in_small_nodes(live), "small")
         pairs = small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), "agree") \
@@ -522,8 +544,9 @@ def linked(classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
         if not others.isEmpty():
             stars = joined(stars, stage(confirmed(others, texts, size), "links"))
         # Second pass: all that is left in nodes nearly of one colour.
-        columns = ("node", "class", "n_shingles", "sketch")
-        large = stage(mixed_nodes(recolored(live.filter(LARGE).select(*columns), stars), level), "large")
+        columns = ("node", "class", "n_shingles", "sketch", "path")
+        large = mixed_nodes(recolored(live.filter(LARGE).select(*columns), stars), level)
+        large = stage(with_path(large, BRANCHING), "large")
         left = mixed_nodes(recolored(small.select("node", F.col("a").alias("class")).distinct(), stars))
         left = stage(facing(left).union(
             contested(facing(large, "n_shingles", "sketch"))), "contested")
@@ -557,7 +580,7 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
         described.filter("set_key IS NOT NULL").groupBy("set_key").agg(
             F.min("doc_id").alias("least_id"), F.min_by(F.struct("row_key", "text_key"), "row_key").alias("keys"),
             F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens"),
-            F.first("sketch").alias("sketch")), "classes")
+            F.first("sketch").alias("sketch"), F.first("paths").alias("paths")), "classes")
     # The table is written, so a number by place in it is the same whenever it is read again.
     classes = stage(classes.withColumn("class", F.monotonically_increasing_id())
                     .select("*", "keys.row_key", "keys.text_key").drop("keys"), "classes")

@@ -172,6 +172,29 @@ def test_near_duplicates_in_a_crowd_around_the_threshold(spark, monkeypatch):
     assert 10 < len(check_near_duplicates(docs, 2)) < 500
 
 
+def test_pairs_over_the_threshold_meet_in_some_tree_after_all_levels(spark):
+    """Lone pairs of similarity 0.802 whose nodes stay large on every level."""
+    n_pairs = 1000
+    docs = spark.createDataFrame(
+        [(2 * k + side, " ".join([f"p{k}w{w}" for w in range(89)] + [f"p{k}s{side}w{w}" for w in range(11)]))
+         for k in range(n_pairs) for side in (0, 1)], "doc_id long, text string")
+    described = near_dedup.stage(near_dedup.describe(docs, 1))
+    pair = F.expr("doc_id div 2")
+    rows = described.select("*", F.posexplode("tokens").alias("tree", "token")).select(
+        F.xxhash64("tree", "token", pair).alias("node"), F.col("doc_id").alias("class"), pair.alias("color"),
+        "n_shingles", "sketch", near_dedup.path_of("tree").alias("path"))
+    met = {}
+    for level in range(near_dedup.LEVELS):
+        both = rows.groupBy("node", "color").count().filter("count = 2").select("node", "color")
+        rows = near_dedup.stage(rows.join(both, ["node", "color"], "left_semi"))
+        met[level] = rows.select("color").distinct().count()
+        rows = near_dedup.branched(rows, level)
+    both = rows.groupBy("node", "color").count().filter("count = 2")
+    met[near_dedup.LEVELS] = both.select("color").distinct().count()
+    print(met)
+    assert met[near_dedup.LEVELS] > 0.96 * n_pairs
+
+
 def test_near_dedup_stage_keeps_one_row_of_each_group(spark, odd, sf_dir):
     kept = near_dedup.near_dedup_stage(spark, odd, sf_dir)
     assert kept.columns == odd.columns
