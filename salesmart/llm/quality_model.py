@@ -211,10 +211,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
 def quality_model_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the classifier scores 0.5 or more.
 
-    NULL and empty texts are scored like others; rows are independent of each other, and all
+    It learns from all labelled documents, also from those that earlier stages dropped: they are
+    most of the bad examples. NULL and empty texts are scored like others; rows are independent of each other, and all
     input columns are kept, whatever their names.
     """
-    model, _ = fit(docs, read_table(spark, sf_dir, "labels"))
+    model, _ = fit(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
     rows = docs.select(F.struct("*").alias("row"))
     score = score_of(model, statistics_of(F.col("row.text")))
     return rows.withColumn("score", score).filter("score >= 0.5").select("row.*")

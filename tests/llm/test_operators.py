@@ -295,6 +295,18 @@ def test_quality_scores(spark, odd, sf_dir):
     assert {r["s"] for r in described.select(quality_model.score_of(model, F.col("statistics")).alias("s")).collect()} == {0.5}
 
 
+def test_quality_stage_learns_from_documents_that_its_input_lacks(spark, small, sf_dir):
+    """The input holds no example labelled as bad, and bad documents that no label covers."""
+    verdicts = QUERIES["op9_quality_model"](spark, sf_dir).select("doc_id", "held_out", "predicted")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").groupBy("doc_id").agg(F.avg("quality").alias("quality"))
+    rows = small.join(verdicts, "doc_id").join(labels, "doc_id", "left") \
+        .filter("quality = 1 OR (held_out AND predicted = 0)")
+    expected = sorted(r["doc_id"] for r in rows.filter("predicted = 1").collect())
+    assert len(expected) < rows.count()
+    kept = quality_model.quality_model_stage(spark, rows.select(small.columns), sf_dir)
+    assert sorted(r["doc_id"] for r in kept.collect()) == expected
+
+
 def test_rules_do_not_depend_on_their_order(odd):
     def verdicts(rules):
         rows = odd.select(F.coalesce("text", F.lit("")).alias("text"))
