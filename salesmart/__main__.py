@@ -1,6 +1,6 @@
 """Run the jobs: ``spark-submit`` this package, or ``python -m salesmart``.
 
-    python -m salesmart build  --warehouse W --landing L --rates R
+    python -m salesmart build  --warehouse W --landing L --rates R [--as-of 2024-01-31]
     python -m salesmart audit  --warehouse W
     python -m salesmart report --warehouse W [--country India] [--year 2020]
     python -m salesmart sql    --warehouse W "SELECT * FROM consumption.region_dim"
@@ -21,7 +21,8 @@ from salesmart.config import COUNTRIES
 from salesmart.plans import kpi
 from salesmart.plans.audit import audit, layer_counts
 from salesmart.plans.build import build_warehouse
-from salesmart.plans.dimensions import DATE_TABLE, DIMENSIONS
+from salesmart.plans.curate import sales_table
+from salesmart.plans.dimensions import DATE_TABLE, DIMENSIONS, HISTORY_TABLE
 from salesmart.plans.fact import read_star
 from salesmart.sources.warehouse import Warehouse
 from salesmart.staging import drop_intermediate
@@ -29,7 +30,11 @@ from salesmart.staging import drop_intermediate
 
 def build(warehouse: Warehouse, options: argparse.Namespace) -> None:
     build_warehouse(
-        warehouse, options.landing, options.rates, grain_safe=not options.customers_by_name
+        warehouse,
+        options.landing,
+        options.rates,
+        grain_safe=not options.customers_by_name,
+        as_of=options.as_of,
     )
     layer_counts(warehouse).show(truncate=False)
 
@@ -41,12 +46,12 @@ def check(warehouse: Warehouse, options: argparse.Namespace) -> None:
 
 
 def sql(warehouse: Warehouse, options: argparse.Namespace) -> None:
-    sales = [f"{c.code.lower()}_sales_order" for c in COUNTRIES]
-    warehouse.publish("common", "exchange_rate")
+    sales = [sales_table(c) for c in COUNTRIES]
+    warehouse.publish("common", "exchange_rate", "rate_rejects")
     warehouse.publish("source", *sales)
     warehouse.publish("curated", *sales)
     warehouse.publish(
-        "consumption", DATE_TABLE, *[d.table for d in DIMENSIONS], "sales_fact"
+        "consumption", DATE_TABLE, *[d.table for d in DIMENSIONS], HISTORY_TABLE, "sales_fact"
     )
     warehouse.spark.sql(options.query).show(options.rows, truncate=False)
 
@@ -73,6 +78,7 @@ def run(arguments: list[str], spark: SparkSession) -> None:
     builder.add_argument("--landing", required=True)
     builder.add_argument("--rates", required=True)
     builder.add_argument("--customers-by-name", action="store_true")
+    builder.add_argument("--as-of", type=date.fromisoformat, help="keep the customers' history")
     builder.set_defaults(run=build)
     reporter = commands.add_parser("report")
     reporter.add_argument("--country", action="append")

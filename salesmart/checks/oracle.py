@@ -31,14 +31,14 @@ lines AS (
          concat('+', c_custkey, '-', o_orderkey % 2) AS contact_no,
          concat(n_name, ' / ', c_name) AS shipping_address,
          l_shipdate AS modified,
-         CASE r_name WHEN 'ASIA' THEN 'IN' WHEN 'AMERICA' THEN 'US' ELSE 'FR' END AS source
+         CASE WHEN r_name IN ('ASIA', 'MIDDLE EAST') THEN 'IN' WHEN r_name = 'AMERICA' THEN 'US'
+              ELSE 'FR' END AS source
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey
   JOIN part ON l_partkey = p_partkey
-  WHERE r_name IN ('ASIA', 'AMERICA', 'EUROPE')
 ),
 rates AS (
   SELECT DISTINCT cast(o_orderdate AS date) AS rate_date,
@@ -216,6 +216,35 @@ def _with(ctes: str, select: str) -> str:
     return f"WITH {ctes.strip()}\n{select}"
 
 
+def _built(delivered: str) -> str:
+    """The fact of a build, from its order lines and the wave of files each came with."""
+    return _with(
+        SOURCE,
+        f""", delivered AS (
+  {delivered}
+),
+kept AS (
+  SELECT * REPLACE (CASE WHEN source = 'IN' THEN tax_amount
+                         ELSE cast(cast(tax_amount AS decimal(38,0)) AS decimal(12,2)) END AS tax_amount),
+         CASE source WHEN 'IN' THEN usd2inr WHEN 'US' THEN cast(1 AS decimal(10,7)) ELSE usd2eu END AS rate
+  FROM (SELECT * FROM delivered WHERE payment_status = 'Paid' AND shipping_status = 'Delivered'
+        QUALIFY source <> 'IN' OR rank() OVER (PARTITION BY source, order_dt ORDER BY wave DESC) = 1)
+  JOIN rates ON order_dt = rate_date
+)
+SELECT CASE source WHEN 'IN' THEN 'India' WHEN 'US' THEN 'USA' ELSE 'France' END AS country,
+  order_id AS order_code, {DAY}, customer_name, contact_no, mobile_key,
+  coalesce(promotion_code, 'NA') AS promotion_code, payment_method, payment_provider,
+  cast(order_quantity AS bigint) AS order_quantity,
+  cast(final_order_amount AS double) AS local_total_order_amt,
+  cast(tax_amount AS double) AS local_tax_amt,
+  cast(cast(round(cast(final_order_amount AS double) / cast(rate AS double), 6) AS decimal(18,6)) AS double)
+    AS usd_total_order_amt,
+  cast(cast(round(cast(tax_amount AS double) / cast(rate AS double), 6) AS decimal(18,6)) AS double)
+    AS usd_tax_amt,
+  true AS keys_unique FROM kept""",
+    )
+
+
 def _landing(source: str, contact: str, tax_whole: bool) -> str:
     tax = "cast(cast(tax_amount AS decimal(38,0)) AS bigint)" if tax_whole else (
         "cast(tax_amount AS double)"
@@ -296,9 +325,26 @@ FROM lines WHERE source = 'IN'""",
     ),
     "assign_load_key": _with(
         SOURCE,
-        f"""SELECT {KEY}, order_id, source,
-  row_number() OVER (PARTITION BY source ORDER BY lines.sales_order_key) AS load_key
+        """SELECT order_id, source,
+  row_number() OVER (PARTITION BY source ORDER BY sales_order_key) AS load_key
 FROM lines""",
+    ),
+    "ingest_mixed_types": _with(
+        SOURCE,
+        """SELECT order_id, order_quantity,
+  CASE WHEN order_quantity % 3 <> 2 THEN promotion_code END AS promotion_code,
+  cast(final_order_amount AS double) AS final_order_amount FROM lines WHERE source = 'US'""",
+    ),
+    "ingest_large_amounts": _with(
+        SOURCE,
+        """SELECT order_id, unit_price * 1000000000 AS unit_price,
+  cast(cast(total_price AS decimal(38,0)) AS bigint) AS total_price
+FROM lines WHERE source = 'FR'""",
+    ),
+    "rate_rejects": _with(
+        SOURCE,
+        """SELECT 'DATE' AS bad_fields, count(*) AS n_lines FROM rates WHERE month(rate_date) = 12
+UNION ALL SELECT 'repeated day', count(*) FROM rates WHERE month(rate_date) = 1""",
     ),
     "load_exchange_rate": _with(
         SOURCE,
@@ -308,13 +354,13 @@ FROM lines""",
     "append_rows": _with(
         SOURCE,
         f"""SELECT {DAY}, count(*) AS n_rows, cast(sum(final_order_amount) AS double) AS amount
-FROM lines WHERE source IN ('US', 'FR') GROUP BY order_dt""",
+FROM lines GROUP BY order_dt""",
     ),
     "recreate_target": _distinct(PROMOTION),
     "full_refresh": _with(
         SOURCE,
         f"""SELECT {DAY}, count(*) AS n_rows, cast(sum(final_order_amount) AS double) AS amount
-FROM lines WHERE source = 'US' AND payment_status = 'Paid' AND shipping_status = 'Delivered'
+FROM lines WHERE payment_status = 'Paid' AND shipping_status = 'Delivered'
 GROUP BY order_dt""",
     ),
     "customer_sample": """SELECT c_custkey, c_name, cast(c_nationkey AS bigint) AS c_nationkey,
@@ -322,36 +368,34 @@ GROUP BY order_dt""",
     "filter_eq": _with(
         SOURCE,
         f"""SELECT {KEY}, order_id, payment_status, shipping_status FROM lines
-WHERE source = 'IN' AND payment_status = 'Paid'""",
+WHERE payment_status = 'Paid'""",
     ),
     "filter_paid_delivered": _with(
         SOURCE,
         f"""SELECT {KEY}, order_id, payment_status, shipping_status FROM lines
-WHERE source = 'US' AND payment_status = 'Paid' AND shipping_status = 'Delivered'""",
+WHERE payment_status = 'Paid' AND shipping_status = 'Delivered'""",
     ),
     "enrich_country": _with(
-        SOURCE,
-        f"""SELECT {KEY}, order_id, 'France' AS country, 'Europe' AS region FROM lines
-WHERE source = 'FR'""",
+        CONFORMED, f"SELECT {KEY}, order_id, country, region FROM conformed"
     ),
     "conform_sales": _with(CONFORMED, f"SELECT {CURATED_OUT} FROM conformed"),
     "fact_projection": _with(STAR, f"SELECT {KEY}, {FACT_OUT} FROM fact"),
     "default_promo_code": _with(
         SOURCE,
         f"""SELECT {KEY}, CASE WHEN promotion_code IS NULL THEN 'NA' ELSE promotion_code END
-  AS promotion_code FROM lines WHERE source = 'US'""",
+  AS promotion_code FROM lines""",
     ),
     "resolve_aliases": _with(
-        SOURCE, f"SELECT {KEY}, promotion_code, contact_no FROM lines WHERE source = 'US'"
+        SOURCE, f"SELECT {KEY}, promotion_code, contact_no FROM lines"
     ),
     "default_missing_col": _with(
-        SOURCE, f"SELECT {KEY}, 'NA' AS promotion_code FROM lines WHERE source = 'US'"
+        SOURCE, f"SELECT {KEY}, 'NA' AS promotion_code FROM lines"
     ),
     "fx_left_join": _with(
         SOURCE,
         f"""SELECT {KEY}, {DAY}, cast(usd2inr AS varchar) AS rate
 FROM lines LEFT JOIN (SELECT * FROM rates WHERE month(rate_date) <> 12)
-  ON order_dt = rate_date WHERE source = 'IN'""",
+  ON order_dt = rate_date""",
     ),
     "dedup_latest_file": _with(
         CURATED, f"SELECT {KEY}, order_id, {DAY}, {MODIFIED} FROM ranked "
@@ -407,7 +451,22 @@ ON coalesce(c.promotion_code, 'NA') = p.promotion_code AND c.country = p.country
         STAR,
         f"SELECT {FACT_OUT} FROM fact",
     ),
-    "fact_keys": _with(STAR, "SELECT count(*) AS n_rows, count(*) AS n_keys FROM fact_by_name"),
+    "fact_keys": _with(
+        STAR,
+        "SELECT count(*) AS n_rows, count(*) AS n_keys, count(*) AS last_key FROM fact_by_name",
+    ),
+    "fact_incremental": _built(
+        """SELECT *, 1 AS wave FROM lines WHERE order_dt < DATE '1998-01-01'
+  UNION ALL SELECT *, 2 FROM lines WHERE order_dt >= DATE '1998-01-01'
+  UNION ALL SELECT *, 2 FROM lines
+    WHERE order_dt < DATE '1998-01-01' AND source = 'US' AND order_quantity = 50
+  UNION ALL SELECT * REPLACE (NULL AS order_id), 2 FROM lines
+    WHERE order_dt < DATE '1998-01-01' AND source = 'FR' AND order_quantity = 1
+  UNION ALL SELECT * REPLACE (order_quantity + 100 AS order_quantity), 2 FROM lines
+    WHERE source = 'IN' AND order_dt BETWEEN DATE '1995-06-01' AND DATE '1995-06-30'
+      AND order_quantity <= 25"""
+    ),
+    "fact_one_source": _built("SELECT *, 1 AS wave FROM lines WHERE source = 'IN'"),
     "fact_new_rows": _with(STAR, f"SELECT {KEY}, {FACT_OUT} FROM fact WHERE country <> 'India'"),
     "scd2_customer": _with(
         HISTORY,
@@ -415,11 +474,17 @@ ON coalesce(c.promotion_code, 'NA') = p.promotion_code AND c.country = p.country
   cast(valid_to AS varchar) AS valid_to, isactive FROM history""",
     ),
     "fact_scd2_join": _with(
-        HISTORY,
+        # The same history, of customers without a name where 50 pieces were sold, from 1994 on.
+        HISTORY.replace(
+            "curated AS (\n  SELECT DISTINCT * EXCLUDE (rk, modified)",
+            "curated AS (\n  SELECT DISTINCT * EXCLUDE (rk, modified) REPLACE "
+            "(CASE WHEN order_quantity <> 50 THEN customer_name END AS customer_name)",
+        ).replace("DATE '1900-01-01'", "DATE '1994-01-01'"),
         f"""SELECT {KEY}, h.contact_no AS version_contact_no,
   cast(valid_from AS varchar) AS valid_from, cast(valid_to AS varchar) AS valid_to
-FROM curated c JOIN history h ON c.customer_name = h.customer_name AND c.country = h.country
-  AND c.region = h.region AND order_dt >= valid_from AND order_dt < valid_to""",
+FROM curated c LEFT JOIN history h ON c.customer_name IS NOT DISTINCT FROM h.customer_name
+  AND c.country = h.country AND c.region = h.region
+  AND order_dt >= valid_from AND order_dt < valid_to""",
     ),
     "distinct_region": _distinct("country, region"),
     "distinct_product": _distinct(PRODUCT_PARTS),
@@ -467,7 +532,7 @@ GROUP BY country, fact.order_dt""",
     "dedup_latest_per_order": _with(
         SOURCE,
         f"""SELECT {KEY}, order_id, {MODIFIED} FROM (
-  SELECT * FROM lines WHERE source = 'IN'
+  SELECT * FROM lines
   QUALIFY row_number() OVER (PARTITION BY order_id
     ORDER BY modified DESC NULLS LAST, sales_order_key DESC) = 1)""",
     ),
@@ -508,7 +573,7 @@ FROM lineitem""",
         f"""SELECT {KEY}, cast(local_total_order_amt AS double) AS local_total_order_amt,
   cast(exchange_rate AS double) AS exchange_rate,
   cast(usd_total_order_amt AS double) AS usd_total_order_amt,
-  cast(usd_tax_amt AS double) AS usd_tax_amt FROM conformed WHERE source = 'FR'""",
+  cast(usd_tax_amt AS double) AS usd_tax_amt FROM conformed WHERE source <> 'US'""",
     ),
     "date_spine": """SELECT cast(cast(unnest(generate_series(cast(min(o_orderdate) AS date),
   cast(max(o_orderdate) AS date), INTERVAL 1 DAY)) AS date) AS varchar) AS order_dt
@@ -525,7 +590,7 @@ FROM orders""",
         SOURCE,
         f"""SELECT {DAY}, {KEY},
   row_number() OVER (ORDER BY lines.order_dt, lines.sales_order_key) AS row_key
-FROM lines WHERE source = 'US'""",
+FROM lines""",
     ),
     "dim_region": _with(DIMENSIONS, "SELECT *, 'Y' AS isactive FROM region_dim"),
     "dim_product": _with(DIMENSIONS, "SELECT *, 'Y' AS isactive FROM product_dim"),
@@ -567,6 +632,12 @@ FROM (VALUES ('Quantity'), ('Price per Unit'), ('Total Price'), ('Order Amount')
         CURATED,
         """SELECT country, count(*) AS n_rows, cast(0 AS bigint) AS n_wrong
 FROM curated GROUP BY country""",
+    ),
+    "dq_fx_overflow": _with(
+        CONFORMED,
+        """SELECT country, count(*) AS n_rows,
+  count(*) FILTER (month(order_dt) = 12 AND local_total_order_amt * 100 >= 100000) AS n_wrong
+FROM conformed WHERE source <> 'US' GROUP BY country""",
     ),
     "dq_dim_duplicates": _with(
         DIMENSIONS,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.checks.present import present
-from salesmart.config import COUNTRIES, CURATED_COLUMNS, FACT_COLUMNS, FRANCE, INDIA, USA
+from salesmart.config import COUNTRIES, CURATED_COLUMNS, FACT_PARTITION, FRANCE, INDIA, RATE, USA
 from salesmart.functions.casts import json_field, to_number, typed
 from salesmart.functions.columns import default_column, or_default, resolve_columns
 from salesmart.functions.dates import order_period
@@ -22,16 +22,22 @@ from salesmart.operators.dedup import (
     latest_per_key,
 )
 from salesmart.operators.filters import settled, where_equal, with_market
-from salesmart.operators.keys import next_key, number_by_range, number_once, number_small
+from salesmart.operators.keys import number_by_range
 from salesmart.operators.rates import rates_for, with_rate
 from salesmart.operators.sets import union_all, union_distinct
-from salesmart.operators.sinks import append_or_recreate, append_rows, replace_rows
+from salesmart.operators.sinks import (
+    append_or_recreate,
+    append_rows,
+    read_if_present,
+    replace_rows,
+)
 from salesmart.plans import dimensions, fact, kpi
 from salesmart.plans.audit import identified_by, references
+from salesmart.plans.build import build_warehouse
 from salesmart.plans.curate import conform, curate
 from salesmart.sources.landing import load_landing, read_landing
 from salesmart.sources.manifest import files_per_directory, landing_files
-from salesmart.sources.rates import read_rates
+from salesmart.sources.rates import read_rate_files, read_rates
 from salesmart.sources.testdata import (
     exchange_rates,
     landing_text,
@@ -41,6 +47,7 @@ from salesmart.sources.testdata import (
     write_landing,
     write_rates,
 )
+from salesmart.sources.warehouse import Warehouse
 from salesmart.staging import scratch_path, side_by_side, stage
 from salesmart.streaming.incremental import LoadPaths, load_new_files
 
@@ -49,6 +56,8 @@ QUERIES: dict[str, Query] = {}
 
 # The customer history is built from two loads, split on this day.
 SECOND_LOAD = date(1998, 1, 1)
+# In fact_scd2_join it begins on this one.
+FIRST_VERSIONS = date(1994, 1, 1)
 # The dashboard filters of kpi_filtered.
 CHOSEN = kpi.Selection(
     countries=("India", "France"),
@@ -225,15 +234,43 @@ def ingest_incremental(spark, sf_dir):
     )
 
 
+@query
+def ingest_mixed_types(spark, sf_dir):
+    """Files of one source whose quantity is text, a long or a double; the last lack a column."""
+    root, kind = scratch_path(spark, "landing"), F.col("Quantity").cast("int") % 3
+    text = landing_text(spark, sf_dir, USA)
+    write_landing(text.where(kind == 0), root, USA)
+    write_landing(text.where(kind == 1).withColumn("Quantity", F.col("Quantity").cast("long")), root, USA)
+    doubles = text.where(kind == 2).withColumn("Quantity", F.col("Quantity").cast("double"))
+    write_landing(doubles.drop("Promotion Code"), root, USA)
+    return load_landing(spark, root, USA).rows.select(
+        "ORDER_ID", "ORDER_QUANTITY", "PROMOTION_CODE", "FINAL_ORDER_AMOUNT"
+    )
+
+
+@query
+def ingest_large_amounts(spark, sf_dir):
+    """Prices of twelve digits and more are loaded as they are."""
+    root = scratch_path(spark, "landing")
+    text = landing_text(spark, sf_dir, FRANCE)
+    nine_zeros = F.concat(F.regexp_extract("Price per Unit", "^[0-9]+", 0), F.lit("000000000"))
+    write_landing(text.withColumn("Price per Unit", nine_zeros), root, FRANCE)
+    return load_landing(spark, root, FRANCE).rows.select("ORDER_ID", "UNIT_PRICE", "TOTAL_PRICE")
+
+
 @query
 def assign_load_key(spark, sf_dir):
-    source = source_layer(spark, sf_dir)
-    keyed = [
-        number_by_range(
-            source(c).select("SALES_ORDER_KEY", "ORDER_ID"), ["SALES_ORDER_KEY"], "load_key"
-        ).withColumn("source", F.lit(c.code))
-        for c in COUNTRIES
-    ]
+    """Landing files in the order of their lines: the load keys follow files and rows."""
+    root = scratch_path(spark, "landing")
+    keyed = []
+    for country in COUNTRIES:
+        in_order = landing_text(spark, sf_dir, country, in_order=True)
+        write_landing(in_order, root, country)
+        rows = load_landing(spark, root, country).rows
+        keyed.append(rows.select(
+            "ORDER_ID", F.col("SALES_ORDER_KEY").alias("load_key"),
+            F.lit(country.code).alias("source"),
+        ))
     return union_all(*keyed)
 
 
@@ -244,11 +281,33 @@ def file_manifest(spark, sf_dir):
     return files_per_directory(union_all(*files))
 
 
+def _rate_files(spark, sf_dir):
+    """Two rate files: one of January with other rates, and a later one of all days, with another
+    order and spelling of its columns and a line without a date for every day of December."""
+    path = scratch_path(spark, "rates-file")
+    rates = exchange_rates(spark, sf_dir)
+    january = rates.where(F.month("DATE") == 1).withColumn("USD2EU", F.lit(1).cast(RATE))
+    write_rates(january.coalesce(1), f"{path}/1")
+    text = rates.select(
+        F.col("USD2INR"), F.col("DATE").cast("string").alias("Date"),
+        F.col("USD2EU").alias("USD2EUR"), F.lit("1").alias("usd2usd"),
+    )
+    spoiled = text.where(F.substring("Date", 6, 2) == "12").withColumn("Date", F.lit("someday"))
+    text.union(spoiled).coalesce(1).write.option("header", True).csv(f"{path}/2")
+    return path
+
+
 @query
 def load_exchange_rate(spark, sf_dir):
-    path = scratch_path(spark, "rates-file")
-    write_rates(exchange_rates(spark, sf_dir), path)
-    return read_rates(spark, path).select("DATE", "USD2USD", "USD2EU", "USD2INR")
+    rows = read_rates(spark, _rate_files(spark, sf_dir))
+    return rows.select("DATE", "USD2USD", "USD2EU", "USD2INR")
+
+
+@query
+def rate_rejects(spark, sf_dir):
+    """Lines without a usable date, and those of a day that a later line settles."""
+    rejects = read_rate_files(spark, _rate_files(spark, sf_dir)).rejects
+    return rejects.groupBy("bad_fields").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 def _sums(rows):
@@ -260,11 +319,10 @@ def _sums(rows):
 @query
 def append_rows_by_name(spark, sf_dir):
     path = scratch_path(spark, "appended")
-    us = source_rows(spark, sf_dir, USA)
-    fr = source_rows(spark, sf_dir, FRANCE)
-    append_rows(us, path)
-    append_rows(fr.select(*reversed(fr.columns)), path)
-    return _sums(spark.read.parquet(path))
+    for country in COUNTRIES:
+        rows = sales_lines(spark, sf_dir, country)
+        append_rows(rows.select(*reversed(rows.columns)) if country is FRANCE else rows, path)
+    return _sums(read_if_present(spark, path))
 
 
 @query
@@ -274,15 +332,15 @@ def recreate_target(spark, sf_dir):
     found = dimensions.members(sales, dimensions.PROMOTION)
     append_rows(found.select("country", "region"), path)
     append_or_recreate(found, path, dimensions.PROMOTION.identity)
-    return spark.read.parquet(path)
+    return read_if_present(spark, path)
 
 
 @query
 def full_refresh(spark, sf_dir):
     path = scratch_path(spark, "refreshed")
-    replace_rows(source_rows(spark, sf_dir, USA), path)
-    replace_rows(settled(spark.read.parquet(path)), path, reads_target=True)
-    return _sums(spark.read.parquet(path))
+    replace_rows(sales_lines(spark, sf_dir), path)
+    replace_rows(settled(read_if_present(spark, path)), path)
+    return _sums(read_if_present(spark, path))
 
 
 @query
@@ -301,23 +359,22 @@ def customer_sample(spark, sf_dir):
 
 @query
 def filter_eq(spark, sf_dir):
-    return where_equal(
-        source_rows(spark, sf_dir, INDIA), "PAYMENT_STATUS", "Paid"
-    ).select("SALES_ORDER_KEY", "ORDER_ID", "PAYMENT_STATUS", "SHIPPING_STATUS")
+    return where_equal(sales_lines(spark, sf_dir), "PAYMENT_STATUS", "Paid").select(
+        "SALES_ORDER_KEY", "ORDER_ID", "PAYMENT_STATUS", "SHIPPING_STATUS"
+    )
 
 
 @query
 def filter_paid_delivered(spark, sf_dir):
-    return settled(source_rows(spark, sf_dir, USA)).select(
+    return settled(sales_lines(spark, sf_dir)).select(
         "SALES_ORDER_KEY", "ORDER_ID", "PAYMENT_STATUS", "SHIPPING_STATUS"
     )
 
 
 @query
 def enrich_country(spark, sf_dir):
-    return with_market(source_rows(spark, sf_dir, FRANCE), FRANCE).select(
-        "SALES_ORDER_KEY", "ORDER_ID", "Country", "Region"
-    )
+    labelled = [with_market(sales_lines(spark, sf_dir, c), c) for c in COUNTRIES]
+    return union_all(*labelled).select("SALES_ORDER_KEY", "ORDER_ID", "Country", "Region")
 
 
 @query
@@ -342,22 +399,22 @@ def fact_projection(spark, sf_dir):
 
 @query
 def default_promo_code(spark, sf_dir):
-    return source_rows(spark, sf_dir, USA).select(
+    return sales_lines(spark, sf_dir).select(
         "SALES_ORDER_KEY", or_default(F.col("PROMOTION_CODE")).alias("promotion_code")
     )
 
 
 @query
 def resolve_aliases(spark, sf_dir):
-    renamed = source_rows(spark, sf_dir, USA).withColumnsRenamed(
-        {"PROMOTION_CODE": "Promo_Code", "PHONE": "CONCTACT_NO"}
+    renamed = sales_lines(spark, sf_dir).withColumnsRenamed(
+        {"PROMOTION_CODE": "Promo_Code", "CONTACT": "CONCTACT_NO"}
     )
     return resolve_columns(renamed, ["sales_order_key", "promotion_code", "contact_no"])
 
 
 @query
 def default_missing_col(spark, sf_dir):
-    rows = source_rows(spark, sf_dir, USA).drop("PROMOTION_CODE")
+    rows = sales_lines(spark, sf_dir).drop("PROMOTION_CODE")
     return default_column(rows, "promotion_code", "NA").select(
         "SALES_ORDER_KEY", "promotion_code"
     )
@@ -370,7 +427,7 @@ def default_missing_col(spark, sf_dir):
 def fx_left_join(spark, sf_dir):
     """Rates are missing for every December, so those orders keep a NULL rate."""
     rates = stage(exchange_rates(spark, sf_dir).where(F.month("DATE") != 12), "rates")
-    return with_rate(source_rows(spark, sf_dir, INDIA), rates, "USD2INR").select(
+    return with_rate(sales_lines(spark, sf_dir), rates, "USD2INR").select(
         "SALES_ORDER_KEY", "ORDER_DT", F.col("EXCHANGE_RATE").cast("string").alias("rate")
     )
 
@@ -480,19 +537,96 @@ def sales_fact_grain_safe(spark, sf_dir):
 
 @query
 def fact_keys(spark, sf_dir):
-    """Two loads of the fact, of India and of the rest: every row has a key of its own."""
+    """Three loads of the fact, a country each: keys without a gap and without a repeat."""
     sales = curated_sales(spark, sf_dir)
-    star = fact.star_of(sales)
-    path = scratch_path(spark, "fact")
-    append_rows(fact.sales_fact(india_only(sales), star), path)
-    later = fact.fact_projection(fact.star_join(sales.where("Country <> 'India'"), star))
-    start = next_key(spark.read.parquet(path), "order_id_pk")
-    append_rows(number_once(later, "order_id_pk", start).select(*FACT_COLUMNS), path)
-    return spark.read.parquet(path).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("order_id_pk").alias("n_keys")
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    dimensions.load_dimensions(warehouse, sales)
+    for country in COUNTRIES:
+        own = sales.where(F.col("Country") == country.country)
+        fact.load_fact(warehouse, own, grain_safe=False)
+    return warehouse.read("consumption", fact.FACT_TABLE).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct(fact.FACT_KEY).alias("n_keys"),
+        F.max(fact.FACT_KEY).alias("last_key"),
     )
 
 
+def _landing_of_days(spark, text, root, country):
+    """Landing files of which each has whole order days, as a market sends them."""
+    write_landing(text.repartition("Order Date"), root, country)
+
+
+FIRST_LATE_DAY = "1998-01-01"
+# What the second wave delivers again, by source: days, lines, and the change.
+AGAIN = {
+    "IN": ("`Order Date` BETWEEN '1995-06-01' AND '1995-06-30' AND CAST(Quantity AS int) <= 25",
+           {"Quantity": "CAST(CAST(Quantity AS int) + 100 AS string)"}),
+    "US": ("CAST(Quantity AS int) = 50", {}),
+    "FR": ("CAST(Quantity AS int) = 1", {"Order ID": "CAST(NULL AS string)"}),
+}
+
+
+def _built_fact(warehouse):
+    """The fact with the members of its dimensions, and whether its keys are unique."""
+    star = fact.read_star(warehouse)
+    rows = kpi.with_date(
+        kpi.with_region(warehouse.read("consumption", fact.FACT_TABLE), star), star
+    )
+    for dimension, key in (
+        (star.customer, "customer"), (star.product, "product"), (star.payment, "payment"),
+        (star.promotion, "promo_code"),
+    ):
+        member = dimension.drop("isActive", "Country", "Region").withColumnRenamed(
+            f"{key}_id_pk", f"{key}_id_fk"
+        )
+        rows = rows.join(member, f"{key}_id_fk")
+    unique = rows.agg(
+        (F.count(F.lit(1)) == F.countDistinct(fact.FACT_KEY)).alias("unique")
+    ).scalar()
+    return rows.select(
+        "Country", "order_code", "order_dt", "customer_name", "contact_no", "mobile_key",
+        "promotion_code", "payment_method", "payment_provider", "order_quantity",
+        "local_total_order_amt", "local_tax_amt", "usd_total_order_amt", "usd_tax_amt",
+    ).withColumn("keys_unique", unique)
+
+
+@query
+def fact_incremental(spark, sf_dir):
+    """Three builds: of early days, of what arrives later, and of nothing new.
+
+    The second wave has the late days, order lines that repeat one already loaded, lines without
+    an order code, and Indian files that take the place of earlier ones for some of their days.
+    """
+    landing, rates = scratch_path(spark, "landing"), scratch_path(spark, "rates-file")
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    write_rates(exchange_rates(spark, sf_dir), rates)
+    texts = {c: landing_text(spark, sf_dir, c) for c in COUNTRIES}
+    late = F.col("Order Date") >= FIRST_LATE_DAY
+    for country, text in texts.items():
+        _landing_of_days(spark, text.where(~late), landing, country)
+    build_warehouse(warehouse, landing, rates)
+    for country, text in texts.items():
+        which, changed = AGAIN[country.code]
+        again = text.where(~late).where(which).withColumns(
+            {name: F.expr(value) for name, value in changed.items()}
+        )
+        _landing_of_days(spark, text.where(late).unionByName(again), landing, country)
+    build_warehouse(warehouse, landing, rates)
+    build_warehouse(warehouse, landing, rates)
+    return _built_fact(warehouse)
+
+
+@query
+def fact_one_source(spark, sf_dir):
+    """A build for which only one of the sources has sent files."""
+    landing, rates = scratch_path(spark, "landing"), scratch_path(spark, "rates-file")
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    write_rates(exchange_rates(spark, sf_dir), rates)
+    _landing_of_days(spark, landing_text(spark, sf_dir, INDIA), landing, INDIA)
+    build_warehouse(warehouse, landing, rates)
+    return _built_fact(warehouse)
+
+
 @query
 def fact_new_rows(spark, sf_dir):
     """India is in the fact already; its rows do not come again."""
@@ -504,10 +638,10 @@ def fact_new_rows(spark, sf_dir):
     return fact.new_fact_rows(rows, rows.join(india, "region_id_fk"))
 
 
-def _history(sales):
+def _history(sales, since=date(1900, 1, 1)):
     early = sales.where(F.col("ORDER_DT") < F.lit(SECOND_LOAD))
     late = sales.where(F.col("ORDER_DT") >= F.lit(SECOND_LOAD))
-    first = history.first_versions(history.latest_state(early), date(1900, 1, 1))
+    first = history.first_versions(history.latest_state(early), since)
     return history.merge_versions(first, history.latest_state(late), SECOND_LOAD)
 
 
@@ -518,8 +652,11 @@ def scd2_customer(spark, sf_dir):
 
 @query
 def fact_scd2_join(spark, sf_dir):
+    """Some customers have no name, and their history begins after the first sales."""
     sales = curated_sales(spark, sf_dir)
-    versions = stage(_history(sales), "customer-history")
+    nameless = F.when(F.col("ORDER_QUANTITY") != 50, F.col("CUSTOMER_NAME"))
+    sales = stage(sales.withColumn("CUSTOMER_NAME", nameless), "sales")
+    versions = stage(_history(sales, FIRST_VERSIONS), "customer-history")
     return history.version_at(sales, versions).select(
         "SALES_ORDER_KEY", "version_contact_no", "valid_from", "valid_to"
     )
@@ -613,7 +750,10 @@ def kpi_payment_mix(spark, sf_dir):
 
 @query
 def kpi_filtered(spark, sf_dir):
-    rows, star = fact_rows(spark, sf_dir)
+    """On the fact as it is stored, by months, of which the filters choose some."""
+    sales = curated_sales(spark, sf_dir)
+    star = fact.star_of(sales)
+    rows = stage(fact.stored_rows(sales, star, grain_safe=True), "fact", FACT_PARTITION)
     return (
         kpi.select_sales(rows, star, CHOSEN)
         .groupBy("Country", "order_dt")
@@ -634,7 +774,7 @@ def dedup_latest_file(spark, sf_dir):
 
 @query
 def dedup_latest_per_order(spark, sf_dir):
-    return latest_per_key(source_rows(spark, sf_dir, INDIA)).select(
+    return latest_per_key(sales_lines(spark, sf_dir)).select(
         "SALES_ORDER_KEY", "ORDER_ID", "_METADATA_LAST_MODIFIED"
     )
 
@@ -721,11 +861,18 @@ def time_parts(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", *parts)
 
 
+def _converted(spark, sf_dir, rates, change=lambda rows: rows):
+    """All sales of the sources that are paid in another currency, in dollars."""
+    frames = []
+    for c in (INDIA, FRANCE):
+        rows = with_rate(change(source_rows(spark, sf_dir, c)), rates, c.rate_column)
+        frames.append(conform(with_market(rows, c), c))
+    return union_all(*frames)
+
+
 @query
 def fx_convert(spark, sf_dir):
-    rates = rate_table(spark, sf_dir)
-    rows = with_rate(source_rows(spark, sf_dir, FRANCE), rates, "USD2EU")
-    return conform(with_market(rows, FRANCE), FRANCE).select(
+    return _converted(spark, sf_dir, rate_table(spark, sf_dir)).select(
         "SALES_ORDER_KEY", "LOCAL_TOTAL_ORDER_AMT", "EXCHANGE_RATE", "USD_TOTAL_ORDER_AMT",
         "USD_TAX_AMT",
     )
@@ -751,12 +898,12 @@ def date_range_days(spark, sf_dir):
 def key_small_dim(spark, sf_dir):
     sales = union_all(*curated_frames(spark, sf_dir).values())
     found = dimensions.members(sales, dimensions.PAYMENT)
-    return number_small(found, dimensions.PAYMENT.identity, "payment_id_pk", 101)
+    return number_by_range(found, dimensions.PAYMENT.identity, "payment_id_pk", 101)
 
 
 @query
 def key_grouped_offset(spark, sf_dir):
-    rows = source_rows(spark, sf_dir, USA).select("ORDER_DT", "SALES_ORDER_KEY")
+    rows = sales_lines(spark, sf_dir).select("ORDER_DT", "SALES_ORDER_KEY")
     return number_by_range(rows, ["ORDER_DT", "SALES_ORDER_KEY"], "row_key")
 
 
@@ -844,6 +991,21 @@ def dq_fx_accuracy(spark, sf_dir):
     return quality.conversion_errors(union_all(*curated_frames(spark, sf_dir).values()))
 
 
+@query
+def dq_fx_overflow(spark, sf_dir):
+    """Rates of nearly nothing in December: dollars that do not fit are missing, and are counted."""
+    tiny = F.when(F.month("DATE") == 12, F.lit("0.0000001").cast(RATE))
+    rates = exchange_rates(spark, sf_dir).withColumns(
+        {c: F.coalesce(tiny, F.col(c)) for c in ("USD2EU", "USD2INR")}
+    )
+    hundredfold = (F.col("FINAL_ORDER_AMOUNT") * 100).cast("decimal(12,2)")
+    sales = _converted(
+        spark, sf_dir, stage(rates, "rates"),
+        lambda rows: rows.withColumn("FINAL_ORDER_AMOUNT", hundredfold),
+    )
+    return quality.conversion_errors(sales)
+
+
 @query
 def dq_dim_duplicates(spark, sf_dir):
     star = fact.star_of(curated_sales(spark, sf_dir))

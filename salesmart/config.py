@@ -14,7 +14,8 @@ INACTIVE = "N"
 # ---- Fixed values: types of the layers ----
 WHOLE = "decimal(38,0)"
 AMOUNT = "decimal(12,2)"
-WHOLE_AMOUNT = "decimal(10,0)"
+WHOLE_AMOUNT = "decimal(38,0)"
+LARGE_AMOUNT = "decimal(38,2)"
 RATE = "decimal(10,7)"
 USD = "decimal(18,6)"
 
@@ -43,7 +44,7 @@ class Country:
     rate_column: str | None
     contact_column: str
     latest_file_only: bool
-    market: str
+    markets: tuple[str, ...]
     whole_number_columns: tuple[str, ...] = ()
     csv_header: bool = True
     multi_line: bool = False
@@ -92,23 +93,26 @@ LANDING_FIELDS = (
 # ---- Fixed values: lineage columns at the end of every SOURCE table ----
 LINEAGE_COLUMNS = ("_METADATA_FILENAME", "_METADATA_ROW_NUMBER", "_METADATA_LAST_MODIFIED")
 
-# ---- Fixed values: the sources. ``market`` is the sales area in the test tables. ----
+# ---- Fixed values: the sources. ``markets`` are its sales areas in the test tables. ----
 # An amount that does not fit its type is rejected with its row when it is loaded.
 # The default scales drop the cents of unit and total prices everywhere, and of the tax in
 # the US and French files; ``with_scale`` keeps them.
 INDIA = Country(
     code="IN", file_format="csv", country="India", region="Asia", currency="INR",
-    rate_column="USD2INR", contact_column="MOBILE", latest_file_only=True, market="ASIA",
+    rate_column="USD2INR", contact_column="MOBILE", latest_file_only=True,
+    markets=("ASIA", "MIDDLE EAST"),
     whole_number_columns=("UNIT_PRICE", "TOTAL_PRICE"),
 )
 USA = Country(
     code="US", file_format="parquet", country="USA", region="North America", currency="USD",
-    rate_column=None, contact_column="PHONE", latest_file_only=False, market="AMERICA",
+    rate_column=None, contact_column="PHONE", latest_file_only=False,
+    markets=("AMERICA",),
     whole_number_columns=("UNIT_PRICE", "TOTAL_PRICE", "TAX_AMOUNT"),
 )
 FRANCE = Country(
     code="FR", file_format="json", country="France", region="Europe", currency="EUR",
-    rate_column="USD2EU", contact_column="PHONE", latest_file_only=False, market="EUROPE",
+    rate_column="USD2EU", contact_column="PHONE", latest_file_only=False,
+    markets=("EUROPE", "AFRICA"),
     whole_number_columns=("UNIT_PRICE", "TOTAL_PRICE", "TAX_AMOUNT"),
 )
 COUNTRIES = (INDIA, USA, FRANCE)
@@ -142,3 +146,18 @@ FACT_COLUMNS = (
     "local_total_order_amt", "local_tax_amt", "exchange_rate", "usd_total_order_amt",
     "usd_tax_amt",
 )
+
+# ---- Fixed values: the columns of joined sales that the fact renames ----
+FACT_SOURCES = {
+    "order_code": "order_id",
+    "date_id_fk": "date_id_pk",
+    "region_id_fk": "region_id_pk",
+    "customer_id_fk": "customer_id_pk",
+    "payment_id_fk": "payment_id_pk",
+    "product_id_fk": "product_id_pk",
+    "promo_code_id_fk": "promo_code_id_pk",
+}
+
+# Curated tables and the fact are folders of months: what a load changes, and what a dashboard asks for.
+CURATED_PARTITION = ("ORDER_YEAR", "ORDER_MONTH")
+FACT_PARTITION = ("order_year", "order_month")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column
-
 from pyspark.sql import functions as F
 
 from salesmart.config import USD

@@ -1,7 +1,8 @@
 """Surrogate keys.
 
 Dimensions get dense keys in a stated order, so the same members get the same keys in every
-run. The fact, by far the largest table, gets unique keys that cost nothing to draw.
+run. The fact, by far the largest table, gets dense keys too, in the order it is written in, and no
+row moves for them.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from pyspark.sql import functions as F
 
 from salesmart.staging import stage
 
-# Up to this many rows one task numbers them all; beyond it the work is spread.
-SMALL_ROWS = 10_000
+# The task that wrote a row.
+TASK = "_task"
 
 # monotonically_increasing_id() is the partition number above 33 bits of row position.
 _POSITION_BITS = 33
@@ -66,28 +67,37 @@ def number_by_range(
     return numbered.select(key, *df.columns)
 
 
-def number_once(df: DataFrame, key: str, start: int = 1) -> DataFrame:
-    """Unique keys from ``start`` up, with gaps, for a frame that is written right away.
+def stage_numbered(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` with the number of the task that writes each row."""
+    return stage(df.withColumn(TASK, F.spark_partition_id()), name, partition_by)
 
-    Nothing is moved, sorted or written for it: the key is the number of the task and the row
-    position within it. The keys differ from run to run, so write the result, once.
+
+def number_written(rows: DataFrame, key: str, start: int = 1) -> DataFrame:
+    """Gapless unique keys from ``start`` up for written rows, without moving one of them.
+
+    ``rows`` scans a table of ``stage_numbered``, or one partition of it: a Parquet file knows the
+    place of each row, and there is one file per task. Rows are counted per task, which reads only
+    that column; a table of two numbers per task turns places into keys. It has a few bytes
+    per task, so it is broadcast whatever the number of rows.
     """
-    return df.withColumn(key, F.monotonically_increasing_id() + F.lit(start)).select(
-        key, *df.columns
+    before = F.sum("_rows").over(
+        Window.orderBy(TASK).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = stage(
+        rows.groupBy(TASK)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select(TASK, (F.coalesce(before, F.lit(0)) + F.lit(start)).alias("_first")),
+        "key-offsets",
+    )
+    columns = [c for c in rows.columns if c not in (TASK, key)]
+    return (
+        rows.withColumn("_place", F.col("_metadata.row_index"))
+        .join(offsets, TASK)
+        .withColumn(key, F.col("_first") + F.col("_place"))
+        .select(key, *columns)
     )
 
 
-def number_small(
-    df: DataFrame, order_by: Sequence[str], key: str, start: int = 1
-) -> DataFrame:
-    """The same numbers for a frame expected to be small, such as new payment methods.
-
-    The rows are written and counted; up to ``SMALL_ROWS`` one task numbers them, beyond that
-    ``number_by_range`` does.
-    """
-    rows = stage(df, "members")
-    if rows.count() > SMALL_ROWS:
-        return number_by_range(rows, order_by, key, start)
-    position = F.row_number().over(Window.orderBy(*order_by))
-    numbered = rows.withColumn(key, position.cast("bigint") + F.lit(start - 1).cast("bigint"))
-    return numbered.select(key, *df.columns)
+def number_dense(df: DataFrame, key: str, start: int = 1) -> DataFrame:
+    """Gapless unique keys from ``start`` up in no stated order; the rows are written once for it."""
+    return number_written(stage_numbered(df, "unnumbered"), key, start)

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions.casts import failed_cast
-from salesmart.functions.money import to_usd
 
 
 def _rows() -> Column:
@@ -44,15 +43,23 @@ def out_of_range(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return count_where(df, {name: ~rule for name, rule in rules.items()}, "rule", "n_broken")
 
 
+def _wrong_dollars(local: str, dollars: str) -> Column:
+    """Whether dollars are missing or given without ground, or times the rate not the amount.
+
+    They have six places, so their product with the rate may be off by the rate's millionth.
+    """
+    rate = F.col("EXCHANGE_RATE")
+    convertible = F.col(local).isNotNull() & F.coalesce(rate != 0, F.lit(False))
+    difference = F.abs(F.col(dollars) * rate - F.col(local))
+    off = difference > F.abs(rate) * F.lit("0.000001").cast("decimal(7,6)")
+    return (convertible != F.col(dollars).isNotNull()) | F.coalesce(off, F.lit(False))
+
+
 def conversion_errors(curated: DataFrame) -> DataFrame:
-    """Rows whose dollars differ from amount and rate, per country."""
-    wrong = ~(
-        F.col("USD_TOTAL_ORDER_AMT").eqNullSafe(
-            to_usd(F.col("LOCAL_TOTAL_ORDER_AMT"), F.col("EXCHANGE_RATE"))
-        )
-        & F.col("USD_TAX_AMT").eqNullSafe(
-            to_usd(F.col("LOCAL_TAX_AMT"), F.col("EXCHANGE_RATE"))
-        )
+    """Rows whose dollars are not what amount and rate give, per country; a result that did not
+    fit its type and is NULL is one of them."""
+    wrong = _wrong_dollars("LOCAL_TOTAL_ORDER_AMT", "USD_TOTAL_ORDER_AMT") | _wrong_dollars(
+        "LOCAL_TAX_AMT", "USD_TAX_AMT"
     )
     return curated.groupBy("Country").agg(
         _rows().alias("n_rows"), F.count_if(wrong).alias("n_wrong")
@@ -81,19 +88,27 @@ def duplicate_members(tables: Mapping[str, tuple[DataFrame, str, Sequence[str]]]
 def orphans(fact: DataFrame, references: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Per foreign key, fact rows whose key is NULL or missing from its dimension.
 
-    Rows are counted per key value first, so the join sees each value once however hot it is.
+    One pass over the fact: its keys become (foreign key, value) rows that are counted on the map
+    side, so what is shuffled and joined has each value once however hot it is.
     """
-    checks = []
-    for foreign_key, (dimension, key) in references.items():
-        per_value = fact.groupBy(foreign_key).agg(_rows().alias("n"))
-        known = dimension.select(F.col(key).alias(foreign_key)).distinct()
-        lost = per_value.join(known, foreign_key, "left_anti")
-        checks.append(
-            lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_orphans")).select(
-                F.lit(foreign_key).alias("foreign_key"), "n_orphans"
-            )
-        )
-    return reduce(DataFrame.unionByName, checks)
+    names = list(references)
+    values = fact.select(*[F.col(n).cast("bigint").alias(n) for n in names])
+    per_value = values.unpivot([], names, "foreign_key", "value").groupBy(
+        "foreign_key", "value"
+    ).agg(_rows().alias("n"))
+    known = reduce(
+        DataFrame.unionByName,
+        [
+            dimension.select(F.lit(n).alias("foreign_key"), F.col(key).cast("bigint").alias("value"))
+            for n, (dimension, key) in references.items()
+        ],
+    ).distinct().withColumn("known", F.lit(True))
+    lost = F.when(F.col("known").isNull(), F.col("n")).otherwise(0)
+    return (
+        per_value.join(known, ["foreign_key", "value"], "left")
+        .groupBy("foreign_key")
+        .agg(F.sum(lost).alias("n_orphans"))
+    )
 
 
 def row_counts(tables: Mapping[str, DataFrame], label: str = "table_name") -> DataFrame:

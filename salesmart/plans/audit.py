@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salesmart.config import COUNTRIES
 from salesmart.operators import quality
-from salesmart.operators.sets import union_all
+from salesmart.plans.curate import all_sales, sales_table
 from salesmart.plans.dimensions import (
     CUSTOMER,
     DATE_KEY,
@@ -48,12 +48,11 @@ def identified_by(star: Star) -> dict[str, tuple[DataFrame, str, tuple[str, ...]
 def layer_counts(warehouse: Warehouse) -> DataFrame:
     """Rows per table from landing to fact; rejected rows are counted beside the loaded ones."""
     tables = {
-        f"{layer}.{c.code.lower()}_sales_order": warehouse.find(
-            layer, f"{c.code.lower()}_sales_order"
-        )
+        f"{layer}.{sales_table(c)}": warehouse.find(layer, sales_table(c))
         for layer in ("source", "rejects", "curated")
         for c in COUNTRIES
     }
+    tables["common.rate_rejects"] = warehouse.find("common", "rate_rejects")
     tables["consumption.sales_fact"] = warehouse.find("consumption", "sales_fact")
     return quality.row_counts({name: df for name, df in tables.items() if df is not None})
 
@@ -62,9 +61,7 @@ def audit(warehouse: Warehouse) -> dict[str, DataFrame]:
     """Findings by name. Sound data has zeros in all of them but the counts."""
     star = read_star(warehouse)
     fact = warehouse.read("consumption", "sales_fact")
-    curated = union_all(
-        *[warehouse.read("curated", f"{c.code.lower()}_sales_order") for c in COUNTRIES]
-    )
+    curated = all_sales(warehouse)
     return {
         "row counts": layer_counts(warehouse),
         "days with several rates": repeated_rate_dates(

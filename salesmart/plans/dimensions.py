@@ -14,7 +14,7 @@ from salesmart.functions.text import mobile_key_parts
 from salesmart.operators.anti import not_in, not_yet_in
 from salesmart.operators.calendar import calendar
 from salesmart.operators.history import first_versions, latest_state, merge_versions
-from salesmart.operators.keys import next_key, number_by_range, number_small
+from salesmart.operators.keys import next_key, number_by_range
 from salesmart.operators.sinks import append_or_recreate
 from salesmart.sources.warehouse import Warehouse
 from salesmart.staging import side_by_side, stage
@@ -22,33 +22,35 @@ from salesmart.staging import side_by_side, stage
 
 @dataclass(frozen=True)
 class Dimension:
-    """A dimension: its table, its key, and the columns that identify a member."""
+    """A dimension: its table, its key, and the columns that identify a member.
+
+    ``recreated`` says that a table lacking one of these columns is started anew; the others'
+    tables hold keys that the fact refers to, and are refused then.
+    """
 
     table: str
     key: str
     identity: tuple[str, ...]
-    expected_small: bool
+    recreated: bool = False
 
 
 # ---- Fixed values: the dimensions and their layouts ----
-REGION = Dimension("region_dim", "region_id_pk", ("Country", "Region"), True)
+REGION = Dimension("region_dim", "region_id_pk", ("Country", "Region"))
 PRODUCT = Dimension(
-    "product_dim", "product_id_pk", ("mobile_key", "Brand", "Model", "Color", "Memory"), False
+    "product_dim", "product_id_pk", ("mobile_key", "Brand", "Model", "Color", "Memory")
 )
 PROMOTION = Dimension(
-    "promo_code_dim", "promo_code_id_pk", ("promotion_code", "country", "region"), True
+    "promo_code_dim", "promo_code_id_pk", ("promotion_code", "country", "region"), recreated=True
 )
 CUSTOMER = Dimension(
     "customer_dim",
     "customer_id_pk",
     ("customer_name", "contact_no", "shipping_address", "country", "region"),
-    False,
 )
 PAYMENT = Dimension(
     "payment_dim",
     "payment_id_pk",
     ("payment_method", "payment_provider", "country", "region"),
-    True,
 )
 DIMENSIONS = (REGION, PRODUCT, PROMOTION, CUSTOMER, PAYMENT)
 DATE_TABLE, DATE_KEY = "date_dim", "date_id_pk"
@@ -108,18 +110,21 @@ def dimension_rows(
     if existing is not None and find_column(existing, dimension.key) is None:
         usable = None
     start = next_key(usable, dimension.key)
-    number = number_small if dimension.expected_small else number_by_range
     fresh = new_members(sales, dimension, existing, null_safe)
-    keyed = number(fresh, dimension.identity, dimension.key, start)
+    keyed = number_by_range(fresh, dimension.identity, dimension.key, start)
     return keyed.withColumn("isActive", F.lit(ACTIVE))
 
 
 def date_rows(sales: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """The calendar days to add. The day counter counts from the first day of these sales."""
-    days = calendar(sales)
-    if existing is not None:
-        days = not_in(days, "order_dt", existing, "order_dt")
-    return number_small(days, ["order_dt"], DATE_KEY, next_key(existing, DATE_KEY))
+    """The calendar days to add: those between the first and the last day of these sales and of
+    the existing days. The day counter counts from the first of them."""
+    days = sales.select(F.col("ORDER_DT").alias("ORDER_DT"))
+    if existing is None:
+        spine = calendar(days)
+    else:
+        known = existing.select(F.col("order_dt").alias("ORDER_DT"))
+        spine = not_in(calendar(days.unionByName(known)), "order_dt", existing, "order_dt")
+    return number_by_range(spine, ["order_dt"], DATE_KEY, next_key(existing, DATE_KEY))
 
 
 def load_dimensions(warehouse: Warehouse, sales: DataFrame, null_safe: bool = False) -> None:
@@ -135,6 +140,8 @@ def load_dimensions(warehouse: Warehouse, sales: DataFrame, null_safe: bool = Fa
 
     def load(dimension: Dimension) -> None:
         existing = warehouse.find("consumption", dimension.table)
+        if existing is not None and not dimension.recreated:
+            resolve_columns(existing, (dimension.key, *dimension.identity))
         rows = stage(dimension_rows(sales, dimension, existing, null_safe), dimension.table)
         path = warehouse.path("consumption", dimension.table)
         append_or_recreate(rows, path, dimension.identity)
@@ -156,4 +163,4 @@ def load_customer_history(
         warehouse.replace("consumption", HISTORY_TABLE, first_versions(state, since))
         return
     merged = merge_versions(history, state, as_of)
-    warehouse.replace("consumption", HISTORY_TABLE, merged, reads_target=True)
+    warehouse.replace("consumption", HISTORY_TABLE, merged)

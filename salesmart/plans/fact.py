@@ -5,11 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from salesmart.config import FACT_COLUMNS
+from salesmart.config import FACT_COLUMNS, FACT_PARTITION, FACT_SOURCES
 from salesmart.functions.columns import resolve_columns, with_promotion
+from salesmart.functions.dates import Months, in_months
 from salesmart.operators.anti import not_yet_in
-from salesmart.operators.keys import next_key, number_once
+from salesmart.operators.keys import next_key, number_dense, number_written, stage_numbered
 from salesmart.plans.dimensions import (
     CUSTOMER,
     DATE_KEY,
@@ -33,8 +35,11 @@ JOIN_COLUMNS = {
     PRODUCT.table: ("mobile_key",),
     CUSTOMER.table: ("customer_name", "region", "country"),
 }
+FACT_TABLE, FACT_KEY, LAST_KEY_TABLE = "sales_fact", "order_id_pk", "last_fact_key"
 ORDER_LINE = "sales_order_key"
-FOREIGN_KEYS = tuple(c for c in FACT_COLUMNS if c.endswith("_fk"))
+# A line of one country; with customers met by name it has a row for each of them.
+FACT_IDENTITY = (ORDER_LINE, "region_id_fk", "customer_id_fk")
+STORED = (*FACT_COLUMNS, ORDER_LINE, *FACT_PARTITION)
 
 
 @dataclass(frozen=True)
@@ -115,30 +120,41 @@ def star_join(sales: DataFrame, star: Star, grain_safe: bool = False) -> DataFra
     return join_customer(sales, star.customer, grain_safe)
 
 
-def fact_projection(joined: DataFrame) -> DataFrame:
-    """The fact columns but its own key, with the order line they came from."""
-    return joined.selectExpr(
-        f"{ORDER_LINE} as {ORDER_LINE}",
-        "order_id as order_code",
-        "date_id_pk as date_id_fk",
-        "region_id_pk as region_id_fk",
-        "customer_id_pk as customer_id_fk",
-        "payment_id_pk as payment_id_fk",
-        "product_id_pk as product_id_fk",
-        "promo_code_id_pk as promo_code_id_fk",
-        *FACT_COLUMNS[FACT_COLUMNS.index("order_quantity"):],
-    )
+def fact_projection(joined: DataFrame, *more: str) -> DataFrame:
+    """The fact columns but its own key, after the order line they came from."""
+    columns = [F.col(FACT_SOURCES.get(c, c)).alias(c) for c in FACT_COLUMNS if c != FACT_KEY]
+    return joined.select(ORDER_LINE, *columns, *more)
 
 
 def sales_fact(sales: DataFrame, star: Star, grain_safe: bool = False) -> DataFrame:
-    """The fact rows of the given sales. Their keys are drawn when the result is written."""
+    """The fact rows of the given sales with their keys, from 1 up."""
     rows = fact_projection(star_join(sales, star, grain_safe))
-    return number_once(rows, "order_id_pk").select(*FACT_COLUMNS)
+    return number_dense(rows, FACT_KEY).select(*FACT_COLUMNS)
 
 
 def new_fact_rows(rows: DataFrame, existing: DataFrame) -> DataFrame:
-    """Fact rows whose order code and dimension keys are not in the fact yet."""
-    return not_yet_in(rows, existing, ["order_code", *FOREIGN_KEYS], repeated=True)
+    """Fact rows of order lines that are not in the fact yet."""
+    return not_yet_in(rows, existing, FACT_IDENTITY, null_safe=True, repeated=True)
+
+
+def stored_rows(sales: DataFrame, star: Star, grain_safe: bool) -> DataFrame:
+    """What the fact table holds: the fact, the order line and the month of its partition."""
+    return fact_projection(star_join(sales, star, grain_safe), *FACT_PARTITION)
+
+
+def draw_keys(warehouse: Warehouse, fresh: DataFrame) -> DataFrame:
+    """Number rows that ``stage_numbered`` wrote, after the last key of the fact.
+
+    The keys are taken before the rows are written: a run that fails leaves a gap and repeats
+    none. The last key is a table of one row, so drawing reads nothing of the fact.
+    """
+    taken = warehouse.find("common", LAST_KEY_TABLE)
+    start = next_key(taken, FACT_KEY)
+    if taken is None:
+        start = next_key(warehouse.find("consumption", FACT_TABLE), FACT_KEY)
+    last = fresh.agg((F.count(F.lit(1)) + F.lit(start - 1)).alias(FACT_KEY))
+    warehouse.replace("common", LAST_KEY_TABLE, last)
+    return number_written(fresh, FACT_KEY, start)
 
 
 def load_fact(
@@ -146,12 +162,47 @@ def load_fact(
 ) -> None:
     """Add sales to the fact.
 
-    By default a re-run adds nothing and an order line is one row. ``only_new=False`` appends
-    whatever is passed, and ``grain_safe=False`` meets customers by name.
+    An order line is known by its country and load key, so a re-run adds nothing, a line without
+    an order code neither, and two equal lines are two rows whenever they are loaded.
+    ``only_new=False`` appends whatever is passed, and ``grain_safe=False`` meets customers by
+    name.
     """
-    rows = fact_projection(star_join(sales, read_star(warehouse), grain_safe))
-    existing = warehouse.find("consumption", "sales_fact")
+    rows = stored_rows(sales, read_star(warehouse), grain_safe)
+    existing = warehouse.find("consumption", FACT_TABLE)
     if only_new and existing is not None:
         rows = new_fact_rows(rows, existing)
-    keyed = number_once(rows, "order_id_pk", next_key(existing, "order_id_pk"))
-    warehouse.append("consumption", "sales_fact", keyed.select(*FACT_COLUMNS))
+    keyed = draw_keys(warehouse, stage_numbered(rows, "fact-rows"))
+    if existing is None:
+        warehouse.replace("consumption", FACT_TABLE, keyed.select(*STORED), FACT_PARTITION)
+    else:
+        warehouse.append("consumption", FACT_TABLE, keyed.select(*STORED), FACT_PARTITION)
+
+
+def refresh_fact(
+    warehouse: Warehouse, sales: DataFrame, months: Months, grain_safe: bool = True
+) -> None:
+    """Replace the given months of the fact by their sales, which must be all sales of them.
+
+    A line that was in the fact before keeps its key, a line that is gone leaves it, and other
+    months are not read. Repeating it after a failure gives the same rows.
+    """
+    rows = stored_rows(sales, read_star(warehouse), grain_safe)
+    existing = warehouse.find("consumption", FACT_TABLE)
+    if existing is None:
+        keyed = draw_keys(warehouse, stage_numbered(rows, "fact-rows"))
+        warehouse.replace("consumption", FACT_TABLE, keyed.select(*STORED), FACT_PARTITION)
+        return
+    before = existing.where(in_months(months, *FACT_PARTITION)).select(
+        F.col(FACT_KEY), *[F.col(c).alias(f"_{c}") for c in FACT_IDENTITY]
+    )
+    same_line = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in FACT_IDENTITY]
+    matched = rows.join(before, same_line, "left").withColumn("_new", F.col(FACT_KEY).isNull())
+    staged = stage_numbered(matched.select(*STORED, "_new"), "fact-rows", ["_new"])
+    keyed = draw_keys(warehouse, staged.where("_new"))
+    kept = staged.where("NOT _new")
+    warehouse.replace_partitions(
+        "consumption",
+        FACT_TABLE,
+        kept.select(*STORED).unionByName(keyed.select(*STORED)),
+        FACT_PARTITION,
+    )

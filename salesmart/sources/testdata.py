@@ -1,7 +1,7 @@
 """The sales sources, derived from the order tables that the checks run on.
 
-Lineitems with their order, customer, nation, market and part become sales order lines; three
-of the five markets are sales sources. Every expression has the same value in other SQL
+Lineitems with their order, customer, nation, market and part become sales order lines; each of
+the five markets belongs to one of the sales sources. Every expression has the same value in other SQL
 engines: money is multiplied as decimals, never as doubles.
 """
 
@@ -47,9 +47,9 @@ def sales_lines(spark: SparkSession, sf_dir: str, *countries: Country) -> DataFr
     reaches the customers before the large joins.
     """
     wanted = countries or COUNTRIES
-    code = F.create_map(*[F.lit(x) for c in wanted for x in (c.market, c.code)])
+    code = F.create_map(*[F.lit(x) for c in wanted for m in c.markets for x in (m, c.code)])
     markets = table(spark, sf_dir, "region").where(
-        F.col("r_name").isin([c.market for c in wanted])
+        F.col("r_name").isin([m for c in wanted for m in c.markets])
     )
     nations = table(spark, sf_dir, "nation").join(
         markets, F.col("n_regionkey") == F.col("r_regionkey")
@@ -126,14 +126,17 @@ def exchange_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_text(
-    spark: SparkSession, sf_dir: str, country: Country, spoil: bool = False
+    spark: SparkSession, sf_dir: str, country: Country, spoil: bool = False,
+    in_order: bool = False,
 ) -> DataFrame:
-    """The landing fields of one source as text.
+    """The landing fields of one source as text, ``in_order`` of their keys if wanted.
 
     ``spoil`` makes the tax of every pending order unreadable, and the date of every order
     line of 50 pieces, so that a load has rows to reject.
     """
     rows = source_rows(spark, sf_dir, country)
+    if in_order:
+        rows = rows.orderBy("SALES_ORDER_KEY")
     text = rows.select(*[F.col(f.column).cast("string").alias(f.label) for f in country.fields])
     if not spoil:
         return text

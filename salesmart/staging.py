@@ -17,6 +17,8 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salesmart import files
+
 _LOCAL_ROOTS: dict[str, str] = {}
 Result = TypeVar("Result")
 
@@ -54,15 +56,14 @@ def drop_intermediate(spark: SparkSession) -> None:
 
     Frames that still read one of them stop working, so this is for the end of a job.
     """
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    files.delete(spark, application_folder(spark))
 
 
 def stage(df: DataFrame, name: str = "stage", partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write ``df`` once and return a scan of what was written."""
+    """Write ``df`` once and return a scan of what was written, one file per task and partition."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.option("maxRecordsPerFile", 0).partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -39,7 +39,7 @@ def test_build_and_rebuild(spark, sf_dir, tmp_path, capsys):
     build_warehouse(warehouse, landing, rates)
     source = {c.code: warehouse.read("source", f"{c.code.lower()}_sales_order").count()
               for c in COUNTRIES}
-    assert source == {"IN": 1098, "US": 1343, "FR": 1032}
+    assert source == {"IN": 2417, "US": 1343, "FR": 2240}
     curated = sum(warehouse.read("curated", f"{c.code.lower()}_sales_order").count()
                   for c in COUNTRIES)
     first = sizes()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from salesmart.functions.columns import MissingColumn, find_column, resolve_columns
 from salesmart.operators.anti import not_in, not_yet_in
 from salesmart.operators.calendar import calendar, date_range, day_spine
-from salesmart.operators.sinks import append_or_recreate, append_rows
+from salesmart.operators.sinks import append_or_recreate, append_rows, read_if_present
 from salesmart.plans import dimensions as d
 from salesmart.plans.dimensions import load_dimensions
 from salesmart.sources.warehouse import MissingTable, Warehouse
@@ -133,13 +133,27 @@ def test_unusable_target_is_recreated(spark, tmp_path):
     spark.createDataFrame([("x",)], "other string").write.parquet(path)
     rows = d.dimension_rows(curated(spark, {}), d.PROMOTION)
     assert append_or_recreate(rows, path, d.PROMOTION.identity)
-    assert values(spark.read.parquet(path), "promo_code_id_pk", "promotion_code") == [(1, "P1")]
+    assert values(read_if_present(spark, path), "promo_code_id_pk", "promotion_code") == [(1, "P1")]
     assert not append_or_recreate(rows, path, d.PROMOTION.identity)
-    assert spark.read.parquet(path).count() == 2
+    assert read_if_present(spark, path).count() == 2
+
+
+def test_only_promotions_are_started_anew(spark, tmp_path):
+    """The keys of other dimensions are in the fact; a table that lacks a column is an error."""
+    warehouse = Warehouse(spark, str(tmp_path))
+    sales = curated(spark, {})
+    load_dimensions(warehouse, sales)
+    for dimension, column in ((d.PROMOTION, "region"), (d.CUSTOMER, "contact_no")):
+        rows = warehouse.read("consumption", dimension.table).drop(column)
+        warehouse.replace("consumption", dimension.table, rows)
+    with pytest.raises(MissingColumn, match="contact_no"):
+        load_dimensions(warehouse, sales)
+    assert "region" in warehouse.read("consumption", d.PROMOTION.table).columns
+    assert warehouse.read("consumption", d.CUSTOMER.table).count() == 1
 
 
 def test_append_matches_by_name(spark, tmp_path):
     path = str(tmp_path / "t")
     append_rows(spark.createDataFrame([(1, "a")], "n bigint, s string"), path)
     append_rows(spark.createDataFrame([("b", 2)], "s string, n int"), path)
-    assert values(spark.read.parquet(path), "n", "s") == [(1, "a"), (2, "b")]
+    assert values(read_if_present(spark, path), "n", "s") == [(1, "a"), (2, "b")]

@@ -3,9 +3,11 @@ from __future__ import annotations
 import shutil
 from dataclasses import replace
 
-from salesmart.config import INDIA
+from pyspark.sql import functions as F
+
+from salesmart.config import INDIA, USA
 from salesmart.streaming.incremental import LoadPaths, load_new_files
-from tests.samples import csv_line, values
+from tests.samples import LINE, csv_line, values
 from tests.test_ingest import lines, put
 
 
@@ -51,6 +53,18 @@ def test_small_batches(spark, tmp_path):
     assert rows == [(1, 0), (2, 1), (3, 2)]
 
 
+def test_types_may_differ_between_and_within_batches(spark, tmp_path):
+    paths = paths_below(tmp_path)
+    for wave in (("2", 3), (4.0, "5")):
+        for k, quantity in enumerate(wave):
+            frame = spark.createDataFrame([LINE]).withColumn("Quantity", F.lit(quantity))
+            frame.coalesce(1).write.mode("append").parquet(f"{tmp_path}/landing/{USA.directory}/[{k}]")
+        load_new_files(spark, f"{tmp_path}/landing", USA, paths)
+    rows = spark.read.parquet(paths.rows)
+    assert [int(q) for q, in values(rows, "ORDER_QUANTITY")] == [2, 3, 4, 5]
+    assert values(rows, "SALES_ORDER_KEY") == [(1,), (2,), (3,), (4,)]
+
+
 def test_a_repeated_batch_writes_the_same_rows_and_keys(spark, tmp_path):
     """Losing the note that a batch was finished makes Spark deliver it again."""
     landing, paths = tmp_path / "landing", paths_below(tmp_path)

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesmart.config import FRANCE, INDIA, USA
+from salesmart.sources import landing
 from salesmart.sources.landing import load_landing, read_landing, with_row_numbers
 from salesmart.sources.manifest import landing_files
-from salesmart.sources.rates import read_rates, repeated_rate_dates
+from salesmart.sources.rates import read_rate_files, repeated_rate_dates
 from tests.samples import LINE, csv_line, values
 
 HEADER = ",".join(LINE)
@@ -66,11 +67,59 @@ def test_scale_is_a_parameter(spark, tmp_path):
 
 
 def test_amounts_beyond_their_type_are_rejected(spark, tmp_path):
-    put(tmp_path, FRANCE, "a.json", json.dumps({**LINE, "Tax": "10000000000"}))
+    put(tmp_path, FRANCE, "a.json", json.dumps({**LINE, "Tax": "1" + "0" * 38}))
     load = load_landing(spark, str(tmp_path), FRANCE)
     assert load.rows.count() == 0 and load.rejects.first()["bad_fields"] == ["Tax"]
 
 
+def test_amounts_of_38_digits_are_kept(spark, tmp_path):
+    put(tmp_path, FRANCE, "a.json", json.dumps({**LINE, "Tax": "9" * 38, "Price per Unit": "10000000000"}))
+    row = load_landing(spark, str(tmp_path), FRANCE).rows.first()
+    assert (int(row["TAX_AMOUNT"]), int(row["UNIT_PRICE"])) == (10**38 - 1, 10**10)
+
+
+def test_a_source_without_files_has_no_rows(spark, tmp_path):
+    for country in (INDIA, USA):
+        load = load_landing(spark, str(tmp_path), country)
+        assert load.rows.count() == load.rejects.count() == 0
+        assert load.rows.columns[-1] == "_METADATA_LAST_MODIFIED"
+
+
+def test_parquet_files_of_different_types(spark, tmp_path):
+    root = f"{tmp_path}/{USA.directory}"
+    kinds = {"a": F.lit("2"), "b": F.lit(3), "c": F.lit(4.0), "d": F.lit(5).cast("decimal(5,1)")}
+    for name, quantity in kinds.items():
+        frame = spark.createDataFrame([{**LINE, "Order ID": name}]).withColumn("Quantity", quantity)
+        frame.coalesce(1).write.mode("append").parquet(root if name != "c" else f"{root}/deep{{er}}")
+    rows = load_landing(spark, str(tmp_path), USA).rows
+    assert values(rows, "ORDER_ID", "ORDER_QUANTITY") == [("a", 2), ("b", 3), ("c", 4), ("d", 5)]
+    assert values(rows, "_METADATA_ROW_NUMBER") == [(1,)] * 4
+    assert values(rows, "SALES_ORDER_KEY") == [(1,), (2,), (3,), (4,)]
+
+
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_numbering_does_not_move_rows_however_many_splits(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(landing, "MOST_BROADCAST_SPLITS", most)
+    for k in range(40):
+        put(tmp_path, INDIA, f"{k:02}.csv", lines(csv_line(), csv_line()))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "10", "spark.sql.adaptive.enabled": "false",
+                "spark.sql.files.openCostInBytes": "1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        numbered = with_row_numbers(read_landing(spark, str(tmp_path), INDIA), "key")
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+        found = numbered.select("_row", "key").collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sorted(r["key"] for r in found) == list(range(1, 81))
+    assert all(r["_row"] in (1, 2) for r in found)
+    # the dictionary is small enough to be sent, whatever the threshold for other tables is
+    assert ("SortMergeJoin" in plan) == (most == 0)
+
+
 def test_parquet_with_native_types_and_an_absent_column(spark, tmp_path):
     frame = spark.createDataFrame([LINE]).drop("Promotion Code").withColumns(
         {"Quantity": F.lit(2), "Order Date": F.to_date("Order Date"), "Tax": F.lit(0.6)}
@@ -121,6 +170,24 @@ def test_rates(spark, tmp_path):
         "2020-01-02,1,0.92,71,1.3,0.8,110\n"
         "never,1,1,1,1,1,1\n"
     )
-    rates = read_rates(spark, str(tmp_path / "rates.csv"))
-    assert rates.count() == 3
-    assert [str(r["DATE"]) for r in repeated_rate_dates(rates).collect()] == ["2020-01-02"]
+    load = read_rate_files(spark, str(tmp_path / "rates.csv"))
+    # the last line of a day counts
+    assert [(str(d), float(r)) for d, r in values(load.rows, "DATE", "USD2EU")] == [
+        ("2020-01-01", 0.9), ("2020-01-02", 0.92),
+    ]
+    assert repeated_rate_dates(load.rows).count() == 0
+    assert values(load.rejects, "row_number", "bad_fields") == [(3, ["repeated day"]), (5, ["DATE"])]
+    twice = load.rows.unionByName(load.rows)
+    assert repeated_rate_dates(twice).count() == 2
+
+
+def test_rates_by_any_header(spark, tmp_path):
+    folder = tmp_path / "rates"
+    folder.mkdir()
+    (folder / "a.csv").write_text('usd2inr, date ,"USD2EU"\n70,2020-01-01,0.9\n,2020-01-02,x\n71,,1\n\n')
+    (folder / "b.csv").write_text("Date,USD2EUR\r\n2020-01-03,0.8\r\n")
+    load = read_rate_files(spark, str(folder))
+    found = [(str(r["DATE"]), r["USD2EU"] and float(r["USD2EU"]), r["USD2INR"] and float(r["USD2INR"]))
+             for r in load.rows.orderBy("DATE").collect()]
+    assert found == [("2020-01-01", 0.9, 70.0), ("2020-01-03", 0.8, None)]
+    assert values(load.rejects, "row_number", "bad_fields") == [(3, ["USD2EU"]), (4, ["DATE"])]

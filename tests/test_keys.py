@@ -51,17 +51,15 @@ def test_null_orderings_are_numbered_too(spark):
     assert found == {1: 1, 3: 2, 2: 3}
 
 
-@pytest.mark.parametrize("limit", [2, 10_000])
-def test_small_numbers_are_the_same_beyond_the_limit(spark, monkeypatch, limit):
-    monkeypatch.setattr(keys, "SMALL_ROWS", limit)
+def test_a_few_rows_are_numbered_in_order(spark):
     df = spark.createDataFrame([("c",), ("a",), ("b",)], "v string")
-    found = {r["v"]: r["k"] for r in keys.number_small(df, ["v"], "k", 5).collect()}
+    found = {r["v"]: r["k"] for r in keys.number_by_range(df, ["v"], "k", 5).collect()}
     assert found == {"a": 5, "b": 6, "c": 7}
 
 
 def test_empty_input(spark):
     empty = spark.createDataFrame([], "v string")
-    assert keys.number_small(empty, ["v"], "k").count() == 0
+    assert keys.number_dense(empty, "k").count() == 0
     assert keys.number_by_range(empty, ["v"], "k").count() == 0
 
 
@@ -71,7 +69,20 @@ def test_next_key(spark):
     assert keys.next_key(spark.createDataFrame([(4,), (9,)], "k bigint"), "k") == 10
 
 
-def test_keys_drawn_once_are_unique_and_start_where_told(spark):
-    drawn = keys.number_once(spark.range(0, 1000, 1, 7).select("id"), "k", 100).collect()
-    assert len({r["k"] for r in drawn}) == 1000
-    assert min(r["k"] for r in drawn) == 100
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_dense_keys_have_no_gap_and_move_no_row(spark, tasks):
+    drawn = keys.number_dense(spark.range(0, 1000, 1, tasks).where("id % 3 <> 0"), "k", 100)
+    found = drawn.collect()
+    assert sorted(r["k"] for r in found) == list(range(100, 100 + len(found)))
+    assert sorted(r["id"] for r in found) == [i for i in range(1000) if i % 3]
+    plan = drawn._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_dense_keys_of_one_partition_of_written_rows(spark):
+    """Files of rows that have keys already lie beside those of rows that get one."""
+    rows = spark.range(0, 500, 1, 5).selectExpr("id", "id % 4 = 0 AS _new")
+    staged = keys.stage_numbered(rows, "rows", ["_new"])
+    found = keys.number_written(staged.where("_new"), "k", 10).collect()
+    assert sorted(r["k"] for r in found) == list(range(10, 10 + 125))
+    assert sorted(r["id"] for r in found) == list(range(0, 500, 4))

@@ -5,6 +5,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from salesmart.operators import quality
+from salesmart.staging import stage
 from tests.samples import curated, values
 
 
@@ -25,6 +26,19 @@ def test_conversion_errors(spark):
     ]
 
 
+def test_dollars_that_do_not_fit_or_have_no_ground_are_counted(spark):
+    tiny = {"EXCHANGE_RATE": Decimal("0.0000001"), "LOCAL_TOTAL_ORDER_AMT": Decimal("1000000.00")}
+    rows = [
+        {**tiny, "USD_TOTAL_ORDER_AMT": None, "LOCAL_TAX_AMT": None, "USD_TAX_AMT": None},
+        {"EXCHANGE_RATE": Decimal(0)},
+        {"EXCHANGE_RATE": Decimal(0), "USD_TOTAL_ORDER_AMT": None, "USD_TAX_AMT": None},
+        {"EXCHANGE_RATE": Decimal(3), "USD_TOTAL_ORDER_AMT": Decimal("6.666667"),
+         "USD_TAX_AMT": Decimal("0.333333")},
+    ]
+    found = quality.conversion_errors(curated(spark, *rows))
+    assert values(found, "n_rows", "n_wrong") == [(4, 2)]
+
+
 def test_nulls_ranges_and_counts(spark):
     sales = curated(spark, {"PROMOTION_CODE": None}, {"ORDER_QUANTITY": Decimal(-1)})
     assert values(quality.null_profile(sales, ["PROMOTION_CODE", "ORDER_ID"]),
@@ -42,3 +56,12 @@ def test_duplicates_and_orphans(spark):
     fact = spark.createDataFrame([(1,), (1,), (9,), (9,), (9,), (None,)], "fk bigint")
     lost = quality.orphans(fact, {"fk": (dimension, "pk")})
     assert values(lost, "foreign_key", "n_orphans") == [("fk", 4)]
+
+
+def test_orphans_of_all_keys_in_one_pass(spark):
+    dimension = spark.createDataFrame([(1,), (2,)], "pk bigint")
+    fact = stage(spark.createDataFrame([(1, 1, 3), (2, None, 3), (1, 7, 1)], "a bigint, b int, c bigint"))
+    lost = quality.orphans(fact, {k: (dimension, "pk") for k in "abc"})
+    assert values(lost, "foreign_key", "n_orphans") == [("a", 0), ("b", 2), ("c", 2)]
+    plan = lost._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
