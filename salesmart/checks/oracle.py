@@ -345,6 +345,13 @@ FROM lines WHERE source = 'FR'""",
         SOURCE,
         """SELECT 'DATE' AS bad_fields, count(*) AS n_lines FROM rates WHERE month(rate_date) = 12
 UNION ALL SELECT 'repeated day', count(*) FROM rates WHERE month(rate_date) = 1""",
+    ),
+    "file_manifest": _with(
+        SOURCE,
+        """SELECT DISTINCT concat('source=', source, '/format=',
+    CASE source WHEN 'IN' THEN 'csv' WHEN 'US' THEN 'parquet' ELSE 'json' END,
+    '/order_year=', year(order_dt)) AS partition_dir,
+  cast(1 AS bigint) AS n_files, true AS has_bytes FROM lines""",
     ),
     "load_exchange_rate": _with(
         SOURCE,

@@ -111,13 +111,17 @@ def star_join(sales: DataFrame, star: Star, grain_safe: bool = False) -> DataFra
     The small dimensions come first: their joins are broadcasts by size, and the text columns
     they replace are gone before products and customers shuffle the sales.
     """
+    return join_customer(join_small_dimensions(sales, star), star.customer, grain_safe)
+
+
+def join_small_dimensions(sales: DataFrame, star: Star) -> DataFrame:
+    """Sales with all keys but the customer's."""
     sales = with_promotion(sales)
     sales = join_date(sales, star.date)
     sales = join_member(sales, star.payment, PAYMENT).drop("payment_method", "payment_provider")
     sales = join_member(sales, star.promotion, PROMOTION).drop("promotion_code")
     sales = join_member(sales, star.region, REGION)
-    sales = join_member(sales, star.product, PRODUCT).drop("mobile_key")
-    return join_customer(sales, star.customer, grain_safe)
+    return join_member(sales, star.product, PRODUCT).drop("mobile_key")
 
 
 def fact_projection(joined: DataFrame, *more: str) -> DataFrame:

@@ -65,3 +65,10 @@ def test_orphans_of_all_keys_in_one_pass(spark):
     assert values(lost, "foreign_key", "n_orphans") == [("a", 0), ("b", 2), ("c", 2)]
     plan = lost._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
+
+
+def test_counting_what_is_written_reads_no_column(spark):
+    rows = stage(curated(spark, {}, {}))
+    counted = quality.row_counts({"sales": rows})
+    assert "ReadSchema: struct<>" in counted._jdf.queryExecution().executedPlan().toString()
+    assert values(counted, "table_name", "n_rows") == [("sales", 2)]
