@@ -33,6 +33,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from salesmart.llm.bpe import gather
 from salesmart.llm.common import by_bytes, documents
 from salesmart.llm.components import components
-from salesmart.staging import stage
+from salesmart.staging import drop, scratch_scope, stage
 
 TREES = 10
 SKETCH = 32
@@ -212,24 +213,31 @@ def nearest_in_small_nodes(live: DataFrame) -> DataFrame:
         .mapInArrow(run, "node long, a long, b long, agree long")
 
 
-def pairs_with_pivots(live: DataFrame, classes: DataFrame) -> DataFrame:
-    """Candidates of each large node's classes with its pivots."""
+def pairs_with_pivots(live: DataFrame) -> DataFrame:
+    """Candidates of each large node's classes with its pivots, whose sketches every row has."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                a, b, m, n = (batch.column(c).to_numpy(zero_copy_only=False)
-                              for c in ("class", "pivot", "n_shingles", "pivot_size"))
-                close = sizes_allow(m, n)
-                yield candidates(a[close], b[close], sketches(batch.column("sketch"))[close],
-                                 sketches(batch.column("pivot_sketch"))[close])
-
-    pivots = classes.select(F.col("class").alias("pivot"), F.col("n_shingles").alias("pivot_size"),
-                            F.col("sketch").alias("pivot_sketch"))
-    return (
-        live.filter(LARGE).select("class", "n_shingles", "sketch", F.explode("pivots").alias("pivot"))
-        .filter("class <> pivot").join(pivots, "pivot").mapInArrow(run, CANDIDATES)
-    )
+                faced = batch.column("faced")
+                pivot, n, sketch = faced.flatten().flatten()
+                row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(faced).to_numpy())
+                a, m = (batch.column(c).to_numpy(zero_copy_only=False)[row] for c in ("class", "n_shingles"))
+                b = pivot.to_numpy(zero_copy_only=False)
+                close = sizes_allow(m, n.to_numpy(zero_copy_only=False)) & (a != b)
+                yield candidates(a[close], b[close], sketches(batch.column("sketch"))[row[close]],
+                                 sketches(sketch)[close])
+
+    return live.filter(LARGE).select("class", "n_shingles", "sketch", "faced").mapInArrow(run, CANDIDATES)
+
+
+def with_faced(nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """Large nodes with their pivots' sizes and sketches: a few rows for each node are joined, and
+    the node's own rows get them when they meet what else is known of it."""
+    pivots = classes.select(F.col("class").alias("pivot"), "n_shingles", "sketch")
+    faced = nodes.filter(LARGE).select("node", F.explode("pivots").alias("pivot")).join(pivots, "pivot") \
+        .groupBy("node").agg(F.collect_list(F.struct("pivot", "n_shingles", "sketch")).alias("faced"))
+    return nodes.join(faced, "node", "left")
 
 
 def facing(live: DataFrame, *columns: str) -> DataFrame:
@@ -410,7 +418,7 @@ def texts_of(members: DataFrame, classes: DataFrame, docs: DataFrame, have: Data
         members = members.join(have.select("class"), "class", "left_anti")
     wanted = stage(classes.join(members, "class", "left_semi").select("class", "row_key", "text_key"), "wanted")
     more = stage(likely(keyed(docs), wanted).join(wanted, ["row_key", "text_key"])
-                 .groupBy("class").agg(F.first("text").alias("text")), "texts")
+                 .groupBy("class").agg(F.first("text").alias("text")), "texts", keep=True)
     return more if have is None else have.union(more)
 
 
@@ -507,8 +515,9 @@ def recolored(rows: DataFrame, stars: DataFrame) -> DataFrame:
         .withColumn("color", F.coalesce("root", "class")).drop("root")
 
 
-def mixed_nodes(rows: DataFrame, level: int = 0) -> DataFrame:
-    """Rows of nodes with more than one colour, with what is known of the node."""
+def mixed_nodes(rows: DataFrame, level: int = 0, classes: DataFrame | None = None) -> DataFrame:
+    """Rows of nodes with more than one colour, with what is known of the node; given the classes,
+    large nodes know their pivots' sketches too."""
     orders = [F.xxhash64("class", F.lit(level), F.lit(k)) for k in range(PIVOTS)]
     colors = rows.groupBy("node", "color").agg(F.count("*").alias("n"), F.min_by("class", orders[0]).alias("class"))
     nodes = colors.groupBy("node").agg(
@@ -516,7 +525,7 @@ def mixed_nodes(rows: DataFrame, level: int = 0) -> DataFrame:
         F.max_by("color", F.struct("n", "color")).alias("dominant"),
         F.array_distinct(F.array(*[F.min_by("class", o) for o in orders])).alias("pivots"), F.count("*").alias("colors"),
     ).filter("colors > 1").drop("colors").withColumn("pivots", F.when(F.expr(LARGE), F.col("pivots")))
-    return rows.join(nodes, "node")
+    return rows.join(nodes if classes is None else with_faced(stage(nodes, "nodes"), classes), "node")
 
 
 def linked(classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
@@ -527,42 +536,46 @@ def linked(classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
         path_of("tree").alias("path"))
     texts, stars, tested, level = None, None, None, 0
     while True:
-        rows = stage(rows, "rows") if level else rows
-        live = stage(with_path(mixed_nodes(rows, level), LARGE), "live")
-        # First pass: the nearest ones and the pivots.
-        small = stage(nearest_in_small_nodes(live), "small")
-        pairs = small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), "agree") \
-            .union(pairs_with_pivots(live, classes)).groupBy("a", "b").agg(F.max("agree").alias("agree"))
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
-        texts = texts_of(pairs.select("a").union(pairs.select("b")).toDF("class"), classes, docs, texts)
-        nearest = stage(nearest_pairs(pairs), "nearest")
-        stars = joined(stars, stage(confirmed(nearest, texts, size), "links"))
-        others = stage(apart(pairs.join(nearest, ["a", "b"], "left_anti"), stars), "others")
-        if not others.isEmpty():
-            stars = joined(stars, stage(confirmed(others, texts, size), "links"))
-        # Second pass: all that is left in nodes nearly of one colour.
-        columns = ("node", "class", "n_shingles", "sketch", "path")
-        large = mixed_nodes(recolored(live.filter(LARGE).select(*columns), stars), level)
-        large = stage(with_path(large, BRANCHING), "large")
-        left = mixed_nodes(recolored(small.select("node", F.col("a").alias("class")).distinct(), stars))
-        left = stage(facing(left).union(
-            contested(facing(large, "n_shingles", "sketch"))), "contested")
-        if not left.isEmpty():
-            left = stage(different(left), "different")
-            members = stage(left.select("class").distinct(), "members")
-            texts = texts_of(members, classes, docs, texts)
-            sets = stage(hashed_sets(texts.join(members, "class", "left_semi"), size), "sets")
-            links = stage(uniting_links(left.join(sets, "class")), "links")
-            stars = joined(stars, stage(confirmed(links, texts, size), "links"))
-        large = large.filter(BRANCHING)
-        if large.isEmpty():
-            return stars
-        # Pivots are those that the first pass compared.
-        pivots = live.filter(LARGE).select("node", "pivots").distinct()
-        rows = branched(recolored(large.drop("pivots").join(pivots, "node"), stars), level)
+        with scratch_scope(docs.sparkSession, "level"):
+            live = stage(with_path(mixed_nodes(rows, level, classes), LARGE), "live")
+            if level:
+                drop(rows)
+            # First pass: the nearest ones and the pivots.
+            small = stage(nearest_in_small_nodes(live), "small")
+            pairs = small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), "agree") \
+                .union(pairs_with_pivots(live)).groupBy("a", "b").agg(F.max("agree").alias("agree"))
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = stage(pairs, "pairs", keep=True)
+            tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
+            texts = texts_of(pairs.select("a").union(pairs.select("b")).toDF("class"), classes, docs, texts)
+            nearest = stage(nearest_pairs(pairs), "nearest")
+            stars = joined(stars, stage(confirmed(nearest, texts, size), "links"))
+            others = stage(apart(pairs.join(nearest, ["a", "b"], "left_anti"), stars), "others")
+            if not others.isEmpty():
+                stars = joined(stars, stage(confirmed(others, texts, size), "links"))
+            # Second pass: all that is left in nodes nearly of one colour.
+            columns = ("node", "class", "n_shingles", "sketch", "path")
+            large = mixed_nodes(recolored(live.filter(LARGE).select(*columns), stars), level)
+            large = stage(with_path(large, BRANCHING), "large")
+            left = mixed_nodes(recolored(small.select("node", F.col("a").alias("class")).distinct(), stars))
+            left = stage(facing(left).union(
+                contested(facing(large, "n_shingles", "sketch"))), "contested")
+            if not left.isEmpty():
+                left = stage(different(left), "different")
+                members = stage(left.select("class").distinct(), "members")
+                texts = texts_of(members, classes, docs, texts)
+                sets = stage(hashed_sets(texts.join(members, "class", "left_semi"), size), "sets")
+                links = stage(uniting_links(left.join(sets, "class")), "links")
+                stars = joined(stars, stage(confirmed(links, texts, size), "links"))
+            stars = stage(stars, "stars", keep=True)
+            large = large.filter(BRANCHING)
+            if large.isEmpty():
+                return stars
+            # Pivots are those that the first pass compared.
+            pivots = live.filter(LARGE).select("node", "pivots").distinct()
+            children = branched(recolored(large.drop("pivots").join(pivots, "node"), stars), level)
+            rows = stage(children, "rows", keep=True)
         level += 1
 
 
@@ -582,8 +595,10 @@ def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
             F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens"),
             F.first("sketch").alias("sketch"), F.first("paths").alias("paths")), "classes")
     # The table is written, so a number by place in it is the same whenever it is read again.
-    classes = stage(classes.withColumn("class", F.monotonically_increasing_id())
-                    .select("*", "keys.row_key", "keys.text_key").drop("keys"), "classes")
+    numbered = stage(classes.withColumn("class", F.monotonically_increasing_id())
+                     .select("*", "keys.row_key", "keys.text_key").drop("keys"), "classes")
+    drop(classes)
+    classes = numbered
     roots = linked(classes, docs, size).toDF("class", "root")
     grouped = stage(classes.select("class", "set_key", "least_id").join(roots, "class", "left")
                     .select("set_key", "least_id", F.coalesce("root", "class").alias("group")), "grouped")

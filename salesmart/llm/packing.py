@@ -4,7 +4,8 @@ Documents are cut into pieces of the sequence length and one rest. The histogram
 lengths, at most one count per possible length, is all that packing looks at: from the longest
 length down, pieces go to the pattern with the least content so far, and patterns carry the
 number of sequences made like them. Pieces then meet the patterns by their rank among the pieces
-of their length, so that no piece passes the driver and no length is handled by one task.
+of their length, so that no piece passes the driver and no length is handled by one task. Very long
+texts are cut like others; a task holds some megabytes of text, or one longer document.
 """
 
 from __future__ import annotations
@@ -18,12 +19,12 @@ import public_tokenizers
 import pyarrow as pa
 import regex
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from salesmart.llm.bpe import byte_characters
-from salesmart.llm.common import by_bytes, crc32_of_ids, documents, ranked
+from salesmart.llm.common import by_bytes, crc32_of_ids, documents
 from salesmart.staging import stage
 
 END_ID = 0
@@ -58,7 +59,9 @@ class Ids:
         return self.fast.encode(text, allowed_special="all", disallowed_special=())
 
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, nth long"
+#: Counts of pieces by part and length that are sent to all executors, 24 bytes each.
+MOST_BROADCAST_COUNTS = 2_000_000
 
 
 def pieces(
@@ -66,26 +69,28 @@ def pieces(
 ) -> DataFrame:
     """The pieces of all documents: ids of the text and ``end_id``, cut every ``length`` ids.
 
-    A NULL or empty text is one piece with ``end_id`` alone. ``with_ids`` adds the ids.
+    A NULL or empty text is one piece with ``end_id`` alone. ``nth`` counts, from 0, the pieces of
+    one length that a task makes. ``with_ids`` adds the ids.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = Ids(path)
+        ids_of, seen = Ids(path), [0] * (length + 1)
         for batch in by_bytes(batches):
             rows: list[tuple] = []
             for doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text")), strict=True):
-                ids = np.array([*(ids_of.encode(text) if text else ()), end_id], np.int64)
+                ids = np.array([*(ids_of.encode(text) if text else ()), end_id], np.int32)
                 for start in range(0, len(ids), length):
                     part = ids[start:start + length]
-                    row = (doc_id, start, len(part), crc32_of_ids(part), len(ids))
+                    row = (doc_id, start, len(part), crc32_of_ids(part), len(ids), seen[len(part)])
+                    seen[len(part)] += 1
                     rows.append((*row, part) if with_ids else row)
             columns = list(zip(*rows, strict=True))
-            arrays = [pa.array(c, pa.int64()) for c in columns[:5]]
+            arrays = [pa.array(c, pa.int64()) for c in columns[:6]]
             if with_ids:
-                arrays.append(pa.array(columns[5], pa.list_(pa.int64())))
+                arrays.append(pa.array(columns[6], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in schema.split(", ")])
 
-    schema = PIECES + ", ids array<long>" * with_ids
+    schema = PIECES + ", ids array<int>" * with_ids
     return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text").mapInArrow(run, schema)
 
 
@@ -127,22 +132,32 @@ def runs(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, in
 
 
 def pack(cut: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Add sequence_id (gapless from 0) and offset to pieces that have a ``length`` of 1 to
-    ``length``. Equal pieces may change places. No pieces give no sequences."""
+    """Add sequence_id (gapless from 0) and offset to ``pieces`` that have a ``length`` of 1 to
+    ``length``. Pieces of a length may change places. No pieces give no sequences.
+
+    A piece's rank among those of its length is its number in the task that made it, after the
+    pieces of earlier tasks; these counts are all that is shuffled, ids stay where they were written.
+    """
     spark = cut.sparkSession
     rows = stage(cut.withColumn("part", F.spark_partition_id()), "pieces")
-    histogram = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}
+    counts = stage(rows.groupBy("part", "length").count(), "piece-counts")
+    histogram = {r["length"]: r["sum(count)"] for r in counts.groupBy("length").sum("count").collect()}
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("part", "length", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("earlier"))
+    if counts.count() <= MOST_BROADCAST_COUNTS:
+        starts = F.broadcast(starts)
     table = spark.createDataFrame(
         runs(shortest_pack_first(histogram, length)),
         "length long, first long, last long, first_sequence long, offset long",
     )
     # Bounded by the sequence length, not by the data: small enough for every executor.
     return (
-        ranked(rows, "length", F.col("doc_id"), F.col("start"), F.col("ids_crc32"), F.col("doc_tokens"))
+        rows.join(starts, ["part", "length"])
+        .withColumn("rank", F.col("earlier") + F.col("nth"))
         .join(F.broadcast(table), "length")
         .filter(F.col("rank").between(F.col("first"), F.col("last")))
         .withColumn("sequence_id", F.col("first_sequence") + F.col("rank") - F.col("first"))
-        .select(*cut.columns, "sequence_id", "offset")
+        .select(*[c for c in cut.columns if c != "nth"], "sequence_id", "offset")
     )
 
 
@@ -150,13 +165,14 @@ def packed_documents(docs: DataFrame, path: str, length: int = LENGTH, with_ids:
     """All documents cut into pieces and packed.
 
     NULL and repeated doc_ids are kept as they are; a NULL text is an empty document. Other
-    columns are not read.
+    columns are not read. An empty table gives no rows.
     """
     return pack(pieces(docs, path, length, END_ID, with_ids), length)
 
 
 def packing_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: what is left of the documents, packed, with the ids."""
+    """Pipeline stage: what is left of the documents, packed, with the ids. Nulls, empty texts and
+    empty tables as in ``packed_documents``."""
     return packed_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
 
 

@@ -27,6 +27,7 @@ many bytes those take, and each word is one number in place of a byte (``WORDS``
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -44,29 +45,30 @@ from salesmart.staging import stage
 LENGTH = 400
 #: The least number of words of a passage that the pipeline removes.
 LENGTH_WORDS = 51
-#: A longer word counts as one word for each character, as in scripts without spaces.
-LONG_WORD = 32
+#: Characters of scripts without spaces, each a word of its own: Thai, Lao, Burmese, Khmer, and from the
+#: Chinese radicals to the end of the Chinese and Japanese signs; in UTF-8.
+UNSPACED = re.compile(
+    rb"\xe0[\xb8-\xbb].|\xe1(?:[\x80\x81\x9e\x9f].|\x82[\x80-\x9f])|\xe2[\xba-\xbf].|[\xe3-\xe9].."
+    rb"|\xef[\xa4-\xab].|\xf0[\xa0-\xbf]..", re.DOTALL)
 #: Windows of a long document that are hashed at once.
 SEGMENT = 1 << 18
 POSITION_BITS = 20
 
 
 def word_edges(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Where the words of a text begin and end, in bytes."""
+    """Where the words of a text begin and end, in bytes: what stands between white space, however
+    long, but for the characters of scripts without spaces."""
     found = np.frombuffer(data, np.uint8)
     inside = np.concatenate([[False], (found != 32) & ((found < 9) | (found > 13)), [False]])
-    begin, end = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(~inside[1:] & inside[:-1])
-    long = np.flatnonzero(end - begin > LONG_WORD)
-    if len(long):
-        starts = np.zeros(len(found) + 1, bool)
-        starts[begin] = True
-        stops = np.zeros(len(found) + 1, bool)
-        stops[end] = True
-        for b, e in zip(begin[long], end[long], strict=True):
-            starts[b:e] = found[b:e] & 0xC0 != 0x80
-            stops[b + 1:e] = starts[b + 1:e]
-        begin, end = np.flatnonzero(starts), np.flatnonzero(stops)
-    return begin, end
+    starts, stops = inside[1:] & ~inside[:-1], ~inside[1:] & inside[:-1]
+    if len(found) and found.max() >= 0xE0:
+        spans = np.array([m.span() for m in UNSPACED.finditer(data)], np.int64).reshape(-1, 2)
+        first, after = spans[:, 0], spans[:, 1]
+        starts[first] = stops[after] = True
+        # Such a character ends the word before it and begins the one after it.
+        stops[first] = inside[first]
+        starts[after] = inside[after + 1]
+    return np.flatnonzero(starts), np.flatnonzero(stops)
 
 
 @dataclass(frozen=True)
@@ -373,4 +375,4 @@ def op3_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     """What is left of all documents without strings of 400 bytes that occur again."""
     return remove_repeats(documents(spark, sf_dir)).select(
         F.col("row.doc_id").alias("doc_id"), "cut.n_bytes", "cut.n_removed", "cut.n_spans",
-        F.sha2("cut.kept", 256).alias("kept_sha256"))
+        F.sha2("cut.kept", 256).alias("kept_sha256"), F.octet_length("cut.kept").cast("long").alias("n_kept"))
