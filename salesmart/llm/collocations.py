@@ -4,7 +4,7 @@ First pass: every task adds up the n-grams of its texts by a 64-bit hash, and de
 partitions by the first bits of it. Each partition merges what it gets into a Misra-Gries summary. Its
 capacity exceeds the partition's mass (all its n-grams) over the threshold, so what the summary
 takes off any counter in all stays below the threshold, and every n-gram that occurs as often as the
-threshold survives. The partition's mass is known before its first counter: the rows that state
+threshold survives. Of the survivors those go whose counter and all that was taken off stay below it. The partition's mass is known before its first counter: the rows that state
 the tasks' shares of it sort first. Two n-grams with one hash share a counter, which can only let
 more survive. Second pass: the n-grams whose hash may be a survivor's are counted exactly, as
 text, and those below the threshold go. The survivors travel as a bitmap of a fixed size, by the first
@@ -168,13 +168,14 @@ def dealt(longest: int, bits: int):
     return run
 
 
-def summary(keys: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Misra-Gries: with more than ``capacity`` counters, the largest beyond it is taken off all."""
+def summary(keys: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Misra-Gries: with more than ``capacity`` counters, the largest beyond it is taken off all.
+    Also says how much that is."""
     if len(keys) <= capacity:
-        return keys, counts
-    counts = counts - np.partition(counts, len(counts) - capacity - 1)[len(counts) - capacity - 1]
-    kept = counts > 0
-    return keys[kept], counts[kept]
+        return keys, counts, 0
+    taken = int(np.partition(counts, len(counts) - capacity - 1)[len(counts) - capacity - 1])
+    kept = counts > taken
+    return keys[kept], counts[kept] - taken, taken
 
 
 def survivors(threshold: int, bits: int):
@@ -187,20 +188,27 @@ def survivors(threshold: int, bits: int):
         return part, np.packbits(marks, bitorder="little").tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, mass = None, 0
+        part, mass, taken = None, 0, 0
         keys, counts, fresh = [], [], 0
         done: list[tuple[int, bytes]] = []
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
+        def merge() -> None:
+            nonlocal keys, counts, taken, fresh
             # The capacity exceeds mass / threshold.
-            return summary(*added(keys, counts), mass // threshold + 1)
+            key, count, more = summary(*added(keys, counts), mass // threshold + 1)
+            keys, counts, taken, fresh = [key], [count], taken + more, 0
+
+        def finished() -> tuple[int, bytes]:
+            merge()
+            # An n-gram occurs its counter and what was taken off in all at most.
+            return bitmap(part, keys[0][counts[0] + taken >= threshold])
 
         for batch in batches:
             for at, share, key, count in zip(*(batch.column(c) for c in ("part", "mass", "keys", "counts")), strict=True):
                 if at.as_py() != part:
                     if keys:
-                        done.append(bitmap(part, merged()[0]))
-                    part, mass, keys, counts, fresh = at.as_py(), 0, [], [], 0
+                        done.append(finished())
+                    part, mass, taken, keys, counts, fresh = at.as_py(), 0, 0, [], [], 0
                 if share.is_valid:
                     mass += share.as_py()
                     continue
@@ -211,13 +219,12 @@ def survivors(threshold: int, bits: int):
                 counts.append(np.frombuffer(count.as_buffer(), "<u4").astype(np.int64))
                 fresh += len(five)
                 if fresh > mass // threshold + 1:
-                    key, count = merged()
-                    keys, counts, fresh = [key], [count], 0
+                    merge()
             if done:
                 yield sections(done)
                 done = []
         if keys:
-            yield sections([bitmap(part, merged()[0])])
+            yield sections([finished()])
 
     def sections(rows: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),

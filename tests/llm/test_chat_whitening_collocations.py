@@ -262,12 +262,15 @@ def test_summaries_keep_what_is_frequent():
     stream = np.concatenate([np.repeat(np.arange(20), 30), rng.integers(100, 100_000, 30_000)])
     rng.shuffle(stream)
     capacity = len(stream) // 30 + 1
-    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    keys, counts, taken = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
     for share in np.array_split(stream, 40):
         more, n = np.unique(share, return_counts=True)
-        keys, counts = collocations.summary(*collocations.added([keys, more], [counts, n]), capacity)
+        keys, counts, off = collocations.summary(*collocations.added([keys, more], [counts, n]), capacity)
+        taken += off
         assert len(keys) <= capacity
-    assert set(range(20)) <= set(keys.tolist())
+    assert 0 < taken < 30 and set(range(20)) <= set(keys.tolist())
+    true = np.array([(stream == k).sum() for k in keys.tolist()])
+    assert (counts <= true).all() and (true <= counts + taken).all()
 
 
 def test_collocations_take_odd_texts(spark):
