@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from salesmart.llm.bpe import byte_characters
-from salesmart.llm.common import by_bytes, crc32_of_ids, documents
+from salesmart.llm.common import by_bytes, crc32_of_ids, documents, give_memory_back
 from salesmart.staging import stage
 
 END_ID = 0
@@ -89,6 +89,8 @@ def pieces(
             if with_ids:
                 arrays.append(pa.array(columns[6], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in schema.split(", ")])
+        del ids_of
+        give_memory_back()
 
     schema = PIECES + ", ids array<int>" * with_ids
     return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text").mapInArrow(run, schema)
