@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import by_bytes, documents
+from salesmart.llm.common import by_bytes, documents, give_memory_back
 from salesmart.staging import stage
 
 LONGEST = 3
@@ -37,7 +37,9 @@ TOP = 2000
 NO_LANGUAGE = "und"
 
 #: Counters that a task adds up before it deals them out, about.
-ENTRIES = 2_000_000
+ENTRIES = 1_000_000
+#: Text that a task counts at once, in bytes.
+BATCH_TEXT = 2 << 20
 #: Bytes of text for each hash partition; it has up to three n-grams for two bytes.
 PARTITION_BYTES = 1 << 20
 #: At least eight bits of the bitmap are left to each partition.
@@ -102,7 +104,7 @@ class Counted:
 
 
 def by_language(batches: Iterable[pa.RecordBatch], longest: int) -> Iterator[tuple[str, Counted]]:
-    for batch in by_bytes(batches):
+    for batch in by_bytes(batches, limit=BATCH_TEXT):
         texts: dict[str, list[bytes]] = {}
         for lang, text in zip(batch.column("lang").to_pylist(),
                               batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
@@ -164,6 +166,8 @@ def dealt(longest: int, bits: int):
                     keys, counts, held = [], [], 0
         if held:
             yield rows(keys, counts)
+        del keys, counts
+        give_memory_back()
 
     return run
 
@@ -270,6 +274,7 @@ def frequent(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang]).take(pa.array(np.zeros(len(n), np.int64))), pa.concat_arrays(phrases),
                  pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
+        give_memory_back()
 
     counted = texts.mapInArrow(run, schema).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return counted.where(F.col("phrase").isNull() | (F.col("n") >= threshold))
