@@ -278,6 +278,80 @@ def test_search_equals_brute_force(odd):
     assert found == pytest.approx(expected)
 
 
+@pytest.fixture(scope="module")
+def ranked_by_brute_force(small):
+    """The ten best of every tenth document, by plain sums over all documents."""
+    rows = sorted((r["doc_id"], r["text"]) for r in small.select("doc_id", "text").collect())
+    rows += [(i + 10**6, t) for i, t in rows[:60]]  # ties, smaller id first
+    terms = [(i, bm25.terms_of(t)) for i, t in rows]
+    mean = sum(c.total() for _, c in terms) / len(terms)
+    holders = collections.defaultdict(list)
+    for at, (_, c) in enumerate(terms):
+        norm = 1.2 * (0.25 + 0.75 * c.total() / mean)
+        for t, n in c.items():
+            holders[t].append((at, n * 2.2 / (n + norm)))
+    idf = {t: math.log(1 + (len(terms) - len(h) + 0.5) / (len(h) + 0.5)) for t, h in holders.items()}
+    best = {}
+    for i, c in terms:
+        if i % 10 == 0:
+            score = collections.Counter()
+            for t in sorted(c):
+                for at, weight in holders[t]:
+                    score[at] += c[t] * idf[t] * weight
+            best[i] = sorted(((-round(s, 7), terms[at][0]) for at, s in score.items()))[:10]
+    return rows, best
+
+
+@pytest.mark.parametrize(("shard_bytes", "first_shards"), [(1 << 24, 256), (20_000, 256), (20_000, 1)])
+def test_search_over_many_shards_and_rounds(spark, ranked_by_brute_force, shard_bytes, first_shards):
+    rows, best = ranked_by_brute_force
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    index = bm25.build_index(docs, shard_bytes)
+    assert index.count() > 12 or shard_bytes > 20_000
+    found = collections.defaultdict(list)
+    for r in bm25.search(docs, docs.filter("doc_id % 10 = 0"), 10, shard_bytes, first_shards).orderBy("rank").collect():
+        found[r["query_id"]].append((-round(r["score"], 7), r["doc_id"]))
+    assert {q: [i for _, i in f] for q, f in found.items()} == {q: [i for _, i in b] for q, b in best.items() if b}
+    assert all([s for s, _ in found[q]] == pytest.approx([s for s, _ in b]) for q, b in best.items())
+
+
+def test_search_rounds_cover_all_shards():
+    assert bm25.rounds_of(0, 256) == bm25.rounds_of(256, 256) == [(0.0, 1.0)]
+    rounds = bm25.rounds_of(100_000, 256)
+    assert rounds[0][1] * 100_000 <= 256 and rounds[0][0] == 0.0 and rounds[-1][1] == 1.0
+    assert all(a[1] == b[0] for a, b in zip(rounds, rounds[1:], strict=False))
+
+
+def test_search_skips_documents_below_the_threshold():
+    """Few pivots are scored, and the best are those of a full evaluation."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    lists = [[b"w%05d" % t for t in rng.zipf(1.3, 120) % 5000] + [b"own%d" % (k % 400)] * 3 for k in range(4000)]
+    frame = pa.RecordBatch.from_pylist([{"doc_id": k, "text": b" ".join(t).decode()} for k, t in enumerate(lists)])
+    shard = bm25.Shard(next(iter(bm25.index_of([frame], bm25.SHARD_BYTES))), 123.0)
+    place = {t: k for k, t in enumerate(shard.terms.to_pylist())}
+    assert (shard.row >= 0).any() and (shard.row < 0).any()
+    scored = 0
+    for k in range(0, 4000, 400):
+        words = collections.Counter(lists[k])
+        places = np.array([place[t] for t in words])
+        weights = np.array(list(words.values())) * np.log(4000 / shard.count[places])
+        query = np.zeros(len(place))
+        query[places] = weights
+        full = np.add.reduceat(query[shard.doc_term] * shard.doc_weight, shard.doc_start)
+        best = bm25.Best(10)
+        before = best.add
+        counted = []
+        best.add = lambda scores, *rest: (counted.append(len(scores)), before(scores, *rest))
+        shard.search(places, weights, shard.bounds([(places, weights)])[0], best)
+        scored += sum(counted)
+        expected = sorted(range(4000), key=lambda d: (-full[d], d))[:10]
+        assert best.ids.tolist() == expected and best.scores.tolist() == full[expected].tolist()
+    assert scored < 0.2 * 10 * 4000
+
+
 def test_language_of_odd_texts_and_held_out_accuracy(spark, odd, small, sf_dir):
     profiles = language.learn(small)
     found = {r["doc_id"]: r["lang_pred"] for r in language.identify(odd, profiles).collect()}
