@@ -1,12 +1,13 @@
 """Run the jobs: ``spark-submit`` this package, or ``python -m salesmart``.
 
     python -m salesmart build  --warehouse W --landing L --rates R [--as-of 2024-01-31]
+    python -m salesmart compact --warehouse W
     python -m salesmart audit  --warehouse W
     python -m salesmart report --warehouse W [--country India] [--year 2020]
     python -m salesmart sql    --warehouse W "SELECT * FROM consumption.region_dim"
 
-``build`` loads what is new in the landing area and brings every layer up to date; ``audit``
-prints the quality checks, ``report`` the dashboard figures, ``sql`` the result of a query.
+``build`` loads what is new in the landing area and brings every layer up to date; ``compact``,
+run between builds, packs the files of many small loads into fewer; ``audit`` prints the quality checks, ``report`` the dashboard figures, ``sql`` the result of a query.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from salesmart.plans.build import build_warehouse
 from salesmart.plans.curate import sales_table
 from salesmart.plans.dimensions import DATE_TABLE, DIMENSIONS, HISTORY_TABLE
 from salesmart.plans.fact import read_star
+from salesmart.plans.upkeep import compact_sources
 from salesmart.sources.warehouse import Warehouse
 from salesmart.staging import drop_intermediate
 
@@ -39,6 +41,10 @@ def build(warehouse: Warehouse, options: argparse.Namespace) -> None:
     layer_counts(warehouse).show(truncate=False)
 
 
+def compact(warehouse: Warehouse, options: argparse.Namespace) -> None:
+    compact_sources(warehouse)
+
+
 def check(warehouse: Warehouse, options: argparse.Namespace) -> None:
     for name, findings in audit(warehouse).items():
         print(name)
@@ -86,13 +92,15 @@ def run(arguments: list[str], spark: SparkSession) -> None:
     reporter.add_argument("--first-day", type=date.fromisoformat)
     reporter.add_argument("--last-day", type=date.fromisoformat)
     reporter.set_defaults(run=report)
+    packer = commands.add_parser("compact")
+    packer.set_defaults(run=compact)
     auditor = commands.add_parser("audit")
     auditor.set_defaults(run=check)
     asker = commands.add_parser("sql")
     asker.add_argument("query")
     asker.add_argument("--rows", type=int, default=20, help="how many result rows to print")
     asker.set_defaults(run=sql)
-    for command in (builder, reporter, auditor, asker):
+    for command in (builder, packer, reporter, auditor, asker):
         command.add_argument("--warehouse", required=True)
     options = parser.parse_args(arguments)
     options.run(Warehouse(spark, options.warehouse), options)

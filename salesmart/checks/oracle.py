@@ -321,6 +321,14 @@ FROM lines WHERE source = 'IN' AND NOT ({SPOILED_TAX} OR {SPOILED_DAY})""",
         SOURCE,
         f"""SELECT order_id, {DAY}, order_quantity,
   cast(final_order_amount AS double) AS final_order_amount, true AS keys_dense
+FROM lines WHERE source = 'IN'""",
+    ),
+    "ingest_compacted": _with(
+        SOURCE,
+        f"""SELECT order_id, {DAY}, order_quantity,
+  cast(final_order_amount AS double) AS final_order_amount,
+  cast(coalesce(greatest(least(year(order_dt) - 1993, 4), 0), 0) AS bigint) AS batch_id,
+  true AS keys_dense
 FROM lines WHERE source = 'IN'""",
     ),
     "assign_load_key": _with(

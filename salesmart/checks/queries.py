@@ -35,6 +35,7 @@ from salesmart.plans import dimensions, fact, kpi
 from salesmart.plans.audit import identified_by, references
 from salesmart.plans.build import build_warehouse
 from salesmart.plans.curate import conform, curate
+from salesmart.plans.upkeep import compact_loads
 from salesmart.sources.landing import load_landing, read_landing
 from salesmart.sources.manifest import files_per_directory, landing_files
 from salesmart.sources.rates import read_rate_files, read_rates
@@ -235,6 +236,27 @@ def ingest_incremental(spark, sf_dir):
     )
 
 
+@query
+def ingest_compacted(spark, sf_dir):
+    """Five waves of files, their batches packed after the third and after the fourth."""
+    landing = scratch_path(spark, "landing")
+    paths = LoadPaths(*[scratch_path(spark, n) for n in ("rows", "rejects", "keys", "seen")])
+    text = landing_text(spark, sf_dir, INDIA)
+    wave = F.greatest(F.least(F.year(F.to_date("Order Date")) - 1993, F.lit(4)), F.lit(0))
+    for number in range(5):
+        write_landing(text.where(F.coalesce(wave, F.lit(0)) == number), landing, INDIA)
+        load_new_files(spark, landing, INDIA, paths)
+        if number in (2, 3):
+            compact_loads(Warehouse(spark, landing), paths, through=number - 1)
+    loaded = read_if_present(spark, paths.rows)
+    keys = loaded.agg(
+        F.count_distinct("SALES_ORDER_KEY").alias("n"), F.max("SALES_ORDER_KEY").alias("last")
+    ).select((F.col("n") == F.col("last")).alias("dense")).scalar()
+    return loaded.select(
+        "ORDER_ID", "ORDER_DT", "ORDER_QUANTITY", "FINAL_ORDER_AMOUNT", F.col("batch_id").cast("long")
+    ).withColumn("keys_dense", keys)
+
+
 @query
 def ingest_mixed_types(spark, sf_dir):
     """Files of one source whose quantity is text, a long or a double; the last lack a column."""

@@ -26,6 +26,13 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(entry.getPath().getName() for entry in files.listStatus(where))
 
 
+def size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Bytes and number of the data files in a folder; marks and checksums do not count."""
+    files, where = _located(spark, path)
+    data = [e for e in files.listStatus(where) if not e.getPath().getName().startswith(("_", "."))]
+    return sum(e.getLen() for e in data), len(data)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a file or a folder with all it holds; nothing if it is missing."""
     files, where = _located(spark, path)
