@@ -19,7 +19,8 @@ all others follow it:
 
 Buckets are named by hashes of content, so sorting is grouping, on shuffles with partial
 aggregation, and a passage that every document has costs no task more than another. What decides
-on removal is 128 bits of hash; the 64-bit bucket names only choose what to look at further.
+on removal is 128 bits of BLAKE2b over the string; the 64-bit bucket names only choose what to
+look at further, so texts that collide in them cost work and change nothing.
 
 The query reads bytes. The pipeline stage reads words: its passages are 51 words and more, however
 many bytes those take, and each word is one number in place of a byte (``WORDS``).
@@ -31,6 +32,7 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -105,34 +107,39 @@ WORDS = Passages(words=True, length=LENGTH_WORDS, gram=8, widths=(6, 1))
 
 
 class Hashes:
-    """Two polynomial hashes of any run of units of a text, from prefix sums modulo 2^64."""
+    """A polynomial hash of any run of units of a text, from prefix sums modulo 2^64. Texts can be
+    made to collide in it, so it only names buckets and chooses anchors."""
 
     def __init__(self, size: int = SEGMENT + 2 * LENGTH):
         random = np.random.default_rng(3)
-        self.tables, self.powers, self.inverses = [], [], []
-        for _ in range(2):
-            base = int(random.integers(1 << 62, 1 << 63)) * 2 + 1
-            base &= (1 << 64) - 1
-            self.tables.append(random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
-            self.powers.append(self.series(base, size))
-            self.inverses.append(self.series(pow(base, -1, 1 << 64), size))
+        base = int(random.integers(1 << 62, 1 << 63)) * 2 + 1
+        self.table = random.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.powers = self.series(base, size)
+        self.inverses = self.series(pow(base, -1, 1 << 64), size)
 
     @staticmethod
     def series(base: int, size: int) -> np.ndarray:
         return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size - 1, base, np.uint64))])
 
-    def prefixes(self, data: np.ndarray, which: int) -> np.ndarray:
-        table = self.tables[which]
-        values = table[data] if data.dtype == np.uint8 else mixed(data ^ table[0]) | np.uint64(1)
-        terms = values * self.powers[which][:len(data)]
-        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])
+    def prefixes(self, data: np.ndarray) -> np.ndarray:
+        values = self.table[data] if data.dtype == np.uint8 else mixed(data ^ self.table[0]) | np.uint64(1)
+        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * self.powers[:len(data)])])
 
-    def between(self, prefixes: np.ndarray, begin: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
-        value = (prefixes[end] - prefixes[begin]) * self.inverses[which][begin]
+    def between(self, prefixes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        value = (prefixes[end] - prefixes[begin]) * self.inverses[begin]
         value = (value ^ (value >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         return value ^ (value >> np.uint64(32))
 
 
+def digests(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """128 bits of BLAKE2b of each run of units, in two rows of 64: what decides on equality."""
+    whole = memoryview(np.ascontiguousarray(data)).cast("B")
+    size = data.itemsize
+    found = b"".join([blake2b(whole[b:e], digest_size=16).digest()
+                      for b, e in zip((begin * size).tolist(), (end * size).tolist(), strict=True)])
+    return np.frombuffer(found, np.int64).reshape(-1, 2).T
+
+
 def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every ``width`` neighbours, from minima running both ways through tiles."""
     padded = np.concatenate([values, np.full(-len(values) % width, ~np.uint64(0))]).reshape(-1, width)
@@ -143,19 +150,19 @@ def least_in_windows(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def blocks_of(data: np.ndarray, hashes: Hashes, passages: Passages) -> Iterator[tuple[np.ndarray, ...]]:
-    """Blocks of a text's windows: first and last window, anchor, bucket, two outer hashes."""
+    """Blocks of a text's windows: first and last window, anchor, bucket, the outer string's digest."""
     length, gram, windows = passages.length, passages.gram, passages.windows
     for offset in range(0, len(data) - length + 1, SEGMENT):
         part = data[offset:offset + SEGMENT + length - 1]
-        first, second = hashes.prefixes(part, 0), hashes.prefixes(part, 1)
+        prefixes = hashes.prefixes(part)
         at = np.arange(len(part) - gram + 1)
-        grams = hashes.between(first, at, at + gram, 0)
+        grams = hashes.between(prefixes, at, at + gram)
         # The leftmost of equal values is the anchor: the low bits hold the place.
         low = np.uint64((1 << POSITION_BITS) - 1)
         anchors = (least_in_windows((grams & ~low) | at.astype(np.uint64), windows) & low).astype(np.int64)
         begin = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
         end = np.append(begin[1:], len(anchors)) - 1
-        outer = [hashes.between(p, begin, end + length, k) for k, p in enumerate((first, second))]
+        outer = digests(part, begin, end + length)
         yield begin + offset, end + offset, anchors[begin] + offset, grams[anchors[begin]], *outer
 
 
@@ -215,10 +222,10 @@ def refined(contexts: DataFrame, width: int, passages: Passages) -> DataFrame:
             near, far = cell * width, cell * width + width - 1
             first, last = np.maximum(first[part], anchor - far), np.minimum(last[part], anchor - near)
             at = shift[owner]
-            p1, p2 = hashes.prefixes(data, 0), hashes.prefixes(data, 1)
+            prefixes = hashes.prefixes(data)
             # What all windows of the whole cell share, though this block may lack some of them.
-            bucket = hashes.between(p1, at + anchor - near, at + anchor - far + passages.length, 0)
-            outer = [hashes.between(p, at + first, at + last + passages.length, k) for k, p in enumerate((p1, p2))]
+            bucket = hashes.between(prefixes, at + anchor - near, at + anchor - far + passages.length)
+            outer = digests(data, at + first, at + last + passages.length)
             keys = batch.column("text_key").take(pa.array(owner))
             yield blocks_batch(keys, batch.column("context").take(pa.array(owner)), anchor, first, last, bucket, *outer)
 

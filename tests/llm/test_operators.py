@@ -278,6 +278,32 @@ def test_search_equals_brute_force(odd):
     assert found == pytest.approx(expected)
 
 
+def test_texts_made_to_collide_are_not_repeats(spark):
+    """Thue-Morse strings and their complements agree in polynomial hashes modulo 2^64."""
+    import numpy as np
+    bits = [0]
+    while len(bits) < 2048:
+        bits += [1 - b for b in bits]
+    one = "".join("ab"[b] for b in bits)
+    other = "".join("ba"[b] for b in bits)
+    hashes = suffix_dedup.Hashes()
+    ends = np.array([0]), np.array([2048])
+    both = [np.frombuffer(t.encode(), np.uint8) for t in (one, other)]
+    assert len({int(hashes.between(hashes.prefixes(d), *ends)[0]) for d in both}) == 1
+    assert (suffix_dedup.digests(both[0], *ends) != suffix_dedup.digests(both[1], *ends)).all()
+    texts = [one[:512], other[:512], "x" + one[:700], other[:1500] + "y", "once " + one[512:1000]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["row"]["doc_id"]: r["cut"] for r in suffix_dedup.remove_repeats(docs).collect()}
+    seen = collections.Counter(t[i:i + 400] for t in texts for i in range(len(t) - 399))
+    for k, t in enumerate(texts):
+        gone = set()
+        for i in range(len(t) - 399):
+            if seen[t[i:i + 400]] > 1:
+                gone.update(range(i, i + 400))
+        kept = "".join(c for i, c in enumerate(t) if i not in gone)
+        assert found[k]["n_removed"] == len(gone) and bytes(found[k]["kept"]) == kept.encode()
+
+
 @pytest.fixture(scope="module")
 def ranked_by_brute_force(small):
     """The ten best of every tenth document, by plain sums over all documents."""
