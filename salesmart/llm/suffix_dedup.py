@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import by_bytes, documents
+from salesmart.llm.common import by_bytes, documents, give_memory_back
 from salesmart.llm.near_dedup import MEMO_WORDS, WordHashes, mixed
 from salesmart.staging import stage
 
@@ -194,6 +194,8 @@ def first_blocks(texts: DataFrame, passages: Passages) -> DataFrame:
                 for first, last, anchor, *found in blocks_of(passages.units(text, memo), hashes, passages):
                     keys = pa.array([key] * len(first), pa.binary())
                     yield blocks_batch(keys, first, anchor, first, last, *found)
+        del hashes, seen, memo
+        give_memory_back()
 
     return texts.mapInArrow(run, BLOCKS)
 
@@ -228,6 +230,8 @@ def refined(contexts: DataFrame, width: int, passages: Passages) -> DataFrame:
             outer = digests(data, at + first, at + last + passages.length)
             keys = batch.column("text_key").take(pa.array(owner))
             yield blocks_batch(keys, batch.column("context").take(pa.array(owner)), anchor, first, last, bucket, *outer)
+        del hashes
+        give_memory_back()
 
     return contexts.mapInArrow(run, BLOCKS)
 
