@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.bpe import gather
-from salesmart.llm.common import by_bytes, documents
+from salesmart.llm.common import by_bytes, documents, give_memory_back
 from salesmart.llm.components import components
 from salesmart.staging import drop, scratch_scope, stage
 
@@ -134,6 +134,8 @@ def describe(docs: DataFrame, size: int) -> DataFrame:
                 pa.array(sizes), pa.array(keys, pa.binary()),
                 pa.array(tokens, pa.list_(pa.int64())), pa.array(sketch, pa.binary()), pa.array(paths, pa.binary()),
             ], names=["doc_id", "row_key", "text_key", "n_shingles", "set_key", "tokens", "sketch", "paths"])
+        del memo
+        give_memory_back()
 
     return keyed(docs).mapInArrow(
         run, "doc_id long, row_key long, text_key long, n_shingles long, set_key binary, "
@@ -406,6 +408,8 @@ def hashed_sets(texts: DataFrame, size: int) -> DataFrame:
                 memo.clear()
             sets = [shingle_hashes(words_in(t), size, memo).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(sets, pa.binary())], names=["class", "hashes"])
+        del memo
+        give_memory_back()
 
     return texts.mapInArrow(run, "class long, hashes binary")
 
@@ -454,6 +458,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
                     good.append(k)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([c[k] for k in good], pa.int64()) for c in (a, b)], names=["a", "b"])
+        give_memory_back()
 
     # Where the pairs are few, the texts of others stay where they are.
     seconds = texts.toDF("b", "text_b").join(pairs.select("b"), "b", "left_semi")

@@ -281,6 +281,8 @@ def contexts_of(texts: DataFrame, undecided: DataFrame, passages: Passages) -> D
                     pa.array([row["text_key"]] * len(found), pa.binary()), pa.array(begin, pa.int32()),
                     pa.array([data[f["context"]:f["upto"] + passages.length].tobytes() for f in found], pa.binary()),
                 ], names=["text_key", "context", "data"])
+        del seen, memo
+        give_memory_back()
 
     by_text = undecided.groupBy("text_key").agg(F.collect_list(
         F.struct("context", F.get("blocks", F.size("blocks") - 1)["last"].alias("upto"))).alias("found"))
