@@ -2,6 +2,7 @@
 
 A batch owns the folder ``batch_id=N`` and leaves as many files as it had tasks. Compaction packs
 consecutive small batches by their size into segments of few files, which hold the batch as a column.
+A file is sorted by one task, so its rows are bounded as well as its bytes.
 A small file, the state, names the segments and the batches that they replace, and is put in place last:
 readers find every row once, before and after, and a compaction that fails leaves the table as it
 was. Folders that are replaced are deleted by the next compaction, for readers still on them.
@@ -23,9 +24,13 @@ from pyspark.sql import functions as F
 
 from salesmart import files
 from salesmart.operators.sinks import SEGMENTS, STATE, read_batches, read_state, read_segments
+from salesmart.staging import COMPACT
 
 SEGMENT_BYTES = 64 << 30
 FILE_BYTES = 256 << 20
+#: A task sorts the rows of its file in memory, where a row takes a kilobyte or less; rows that pack
+#: well would be many times the bytes of their file, so this bounds a file too.
+FILE_ROWS = 1_500_000
 
 
 @dataclass(frozen=True)
@@ -83,6 +88,7 @@ def compact(
     through: int,
     segment_bytes: int = SEGMENT_BYTES,
     file_bytes: int = FILE_BYTES,
+    file_rows: int = FILE_ROWS,
 ) -> int:
     """Pack the small batches up to number ``through``; returns how many segments were written.
 
@@ -103,10 +109,11 @@ def compact(
     written, gone = [], set()
     for run in pack(segments, batches, segment_bytes, file_bytes):
         rows = rows_of(spark, path, run)
-        count = max(1, -(-size(run) // file_bytes))
+        # Counting reads only the footers of the files.
+        count = max(1, -(-size(run) // file_bytes), -(-rows.count() // file_rows))
         name = f"segment-{uuid.uuid4().hex}"
         rows.repartitionByRange(count, *order_by).sortWithinPartitions(*order_by) \
-            .write.parquet(f"{path}/{SEGMENTS}/{name}")
+            .write.parquet(f"{path}/{SEGMENTS}/{name}", compression=COMPACT)
         written.append(Piece(name, run[0].first, run[-1].last, *files.size(spark, f"{path}/{SEGMENTS}/{name}")))
         gone.update(piece.name for piece in run)
     if written or state["stale"]:
