@@ -23,6 +23,7 @@ from salesmart.plans.dimensions import (
     Dimension,
     date_rows,
     dimension_rows,
+    members,
 )
 from salesmart.sources.warehouse import Warehouse
 from salesmart.staging import side_by_side, stage
@@ -141,6 +142,13 @@ def new_fact_rows(rows: DataFrame, existing: DataFrame) -> DataFrame:
     return not_yet_in(rows, existing, FACT_IDENTITY, null_safe=True, repeated=True)
 
 
+def of_same_regions(sales: DataFrame, star: Star, existing: DataFrame) -> DataFrame:
+    """The fact rows whose region the sales have too: no other row can hold one of their lines."""
+    regions = join_member(members(sales, REGION), star.region, REGION).select(REGION.key)
+    found = [r[REGION.key] for r in regions.distinct().collect()]
+    return existing.where(F.col("region_id_fk").isin(found))
+
+
 def stored_rows(sales: DataFrame, star: Star, grain_safe: bool) -> DataFrame:
     """What the fact table holds: the fact, the order line and the month of its partition."""
     return fact_projection(star_join(sales, star, grain_safe), *FACT_PARTITION)
@@ -171,10 +179,11 @@ def load_fact(
     ``only_new=False`` appends whatever is passed, and ``grain_safe=False`` meets customers by
     name.
     """
-    rows = stored_rows(sales, read_star(warehouse), grain_safe)
+    star = read_star(warehouse)
+    rows = stored_rows(sales, star, grain_safe)
     existing = warehouse.find("consumption", FACT_TABLE)
     if only_new and existing is not None:
-        rows = new_fact_rows(rows, existing)
+        rows = new_fact_rows(rows, of_same_regions(sales, star, existing))
     keyed = draw_keys(warehouse, stage_numbered(rows, "fact-rows"))
     if existing is None:
         warehouse.replace("consumption", FACT_TABLE, keyed.select(*STORED), FACT_PARTITION)
