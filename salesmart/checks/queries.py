@@ -142,7 +142,9 @@ def landing_layer(spark, sf_dir, *countries, in_order=False, **folders):
     """
     needed = [f.column for f in LANDING_FIELDS] + (["SALES_ORDER_KEY"] if in_order else [])
     lines = sales_lines(spark, sf_dir, *countries).select(*needed, "source")
-    return stage(lines.withColumns(folders), "landing-fields", ["source", *folders], codec=COMPACT)
+    # Writing folders sorts the rows of a task, which the lines of one source do not need.
+    levels = [*(["source"] if len(countries) > 1 else []), *folders]
+    return stage(lines.withColumns(folders), "landing-fields", levels, codec=COMPACT)
 
 
 def landing_text_of(layer, country, in_order=False):
