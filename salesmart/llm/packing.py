@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from salesmart.llm.bpe import byte_characters
-from salesmart.llm.common import by_bytes, crc32_of_ids, documents, give_memory_back
+from salesmart.llm.common import by_bytes, crc32_of_ids, documents, give_memory_back, local_table
 from salesmart.staging import stage
 
 END_ID = 0
@@ -148,8 +148,8 @@ def pack(cut: DataFrame, length: int = LENGTH) -> DataFrame:
     starts = counts.select("part", "length", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("earlier"))
     if counts.count() <= MOST_BROADCAST_COUNTS:
         starts = F.broadcast(starts)
-    table = spark.createDataFrame(
-        runs(shortest_pack_first(histogram, length)),
+    table = local_table(
+        spark, runs(shortest_pack_first(histogram, length)),
         "length long, first long, last long, first_sequence long, offset long",
     )
     # Bounded by the sequence length, not by the data: small enough for every executor.
