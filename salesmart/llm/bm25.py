@@ -71,32 +71,40 @@ def index_of(batches: Iterable[pa.RecordBatch], shard_bytes: int) -> Iterator[pa
     schema = pa.schema([("draw", pa.float64()), ("doc_ids", longs), ("lengths", longs), ("terms", pa.list_(pa.binary())),
                         ("counts", longs), ("docs", pa.binary()), ("tfs", pa.binary())])
 
-    def shard(ids: list, sizes: list, found: list[Counter]) -> pa.RecordBatch:
-        terms = sorted({t for c in found for t in c})
-        place = {t: k for k, t in enumerate(terms)}
-        which = np.fromiter((place[t] for c in found for t in c), np.int64)
-        tfs = np.fromiter((n for c in found for n in c.values()), np.int32)
-        owner = np.repeat(np.arange(len(found), dtype=np.int32), [len(c) for c in found])
+    def shard(ids: list, sizes: list, place: dict[bytes, int], found: list, tfs: list) -> pa.RecordBatch:
+        terms = pa.array(list(place), pa.binary())
+        in_order = pc.array_sort_indices(terms)
+        rank = np.empty(len(terms), np.int32)
+        rank[in_order.to_numpy()] = np.arange(len(terms), dtype=np.int32)
+        which, counted = rank[np.concatenate(found)], np.concatenate(tfs)
+        owner = np.repeat(np.arange(len(found), dtype=np.int32), [len(own) for own in found])
         order = np.argsort(which, kind="stable")
         draw = zlib.crc32(np.array([-1 if i is None else i for i in ids], np.int64).tobytes()) / 2**32
-        return pa.RecordBatch.from_pylist([{
-            "draw": draw, "doc_ids": ids, "lengths": sizes, "terms": terms,
-            "counts": np.bincount(which, minlength=len(terms)).tolist(),
-            "docs": owner[order].tobytes(), "tfs": tfs[order].tobytes()}], schema=schema)
-
-    held: tuple[list, list, list] = ([], [], [])
+        values = (pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), terms.take(in_order),
+                  pa.array(np.bincount(which, minlength=len(terms)), pa.int64()))
+        lists = [pa.ListArray.from_arrays([0, len(v)], v) for v in values]
+        bulk = [pa.array([a[order].tobytes()], pa.binary()) for a in (owner, counted)]
+        return pa.RecordBatch.from_arrays([pa.array([draw]), *lists, *bulk], schema=schema)
+
+    # Terms are numbered as they come and a document is two small arrays: as dictionaries, the
+    # documents of a shard would take many times its text.
+    held: tuple[list, list, dict, list, list] = ([], [], {}, [], [])
     size = 0
     for batch in by_bytes(batches, limit=min(1 << 20, shard_bytes)):
         for doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text")), strict=True):
-            found = terms_of(text)
-            for column, value in zip(held, (doc_id, sum(found.values()), found), strict=True):
+            found, place = terms_of(text), held[2]
+            numbers = np.fromiter((place.setdefault(t, len(place)) for t in found), np.int32, len(found))
+            tfs = np.fromiter(found.values(), np.int32, len(found))
+            for column, value in zip((held[0], held[1], *held[3:]), (doc_id, sum(found.values()), numbers, tfs), strict=True):
                 column.append(value)
             size += len(text or "")
         if size >= shard_bytes:
             yield shard(*held)
-            held, size = ([], [], []), 0
+            held, size = ([], [], {}, [], []), 0
     if held[0]:
         yield shard(*held)
+    del held
+    give_memory_back()
 
 
 class Shard:
@@ -215,7 +223,9 @@ def search(
     ``first_shards`` change the work, never the result.
     """
     spark = docs.sparkSession
-    index = stage(build_index(docs, shard_bytes), "index")
+    # A shard is a row of some 20 MB. Spark writes the rows of a file, and reads up to 4,096 of them, at
+    # once, so the memory of a task would grow with the shards in its file: each is a file of its own.
+    index = stage(build_index(docs, shard_bytes), "index", rows_a_file=1)
     total = index.select(F.size("doc_ids").alias("n"), F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x).alias("length")) \
         .agg(F.sum("n"), F.sum("length")).first()
     rows, mean_length = total[0] or 0, (total[1] or 0) / max(1, total[0] or 0) or 1.0

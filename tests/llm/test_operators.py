@@ -341,6 +341,22 @@ def test_search_over_many_shards_and_rounds(spark, ranked_by_brute_force, shard_
     assert all([s for s, _ in found[q]] == pytest.approx([s for s, _ in b]) for q, b in best.items())
 
 
+def test_search_keeps_each_shard_in_a_file_of_its_own(spark, small, monkeypatch):
+    """One task makes many shards; no file, and so no task that writes or reads one, holds two."""
+    staged = {}
+
+    def spy(df, name, **how):
+        staged[name] = stage(df, name, **how)
+        return staged[name]
+
+    stage = bm25.stage
+    monkeypatch.setattr(bm25, "stage", spy)
+    docs = small.select("doc_id", "text").limit(100).coalesce(1)
+    assert bm25.search(docs, docs.filter("doc_id % 10 = 0"), shard_bytes=20_000).count()
+    shards = staged["index"].count()
+    assert shards > 3 and len(staged["index"].inputFiles()) == shards
+
+
 def test_search_rounds_cover_all_shards():
     assert bm25.rounds_of(0, 256) == bm25.rounds_of(256, 256) == [(0.0, 1.0)]
     rounds = bm25.rounds_of(100_000, 256)
