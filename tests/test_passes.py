@@ -12,9 +12,11 @@ from salesmart.config import COUNTRIES, FRANCE, INDIA
 from salesmart.operators.compaction import compact
 from salesmart.operators.sinks import SEGMENTS
 from salesmart.plans import fact
+from salesmart.plans.build import build_warehouse
 from salesmart.plans.dimensions import REGION
 from salesmart.sources.landing import load_landing
-from salesmart.sources.testdata import landing_text, write_landing
+from salesmart.sources.testdata import exchange_rates, landing_text, write_landing, write_rates
+from salesmart.sources.warehouse import Warehouse
 from salesmart.staging import application_folder
 
 
@@ -75,3 +77,30 @@ def test_only_rows_of_the_same_regions_are_compared(spark, sf_dir):
     own = star.region.where(F.col("Country") == INDIA.country).select("Country", "Region")
     found = fact.of_same_regions(own, star, existing).collect()
     assert [r["region_id_fk"] for r in found] == [keys[INDIA.country]]
+
+
+def test_a_build_leaves_no_intermediate_tables(spark, sf_dir, tmp_path):
+    scratch, warehouse = Path(application_folder(spark)), Warehouse(spark, f"{tmp_path}/warehouse")
+    write_rates(exchange_rates(spark, sf_dir), f"{tmp_path}/rates")
+    before = set(scratch.rglob("*.parquet"))
+    for country in (INDIA, FRANCE):  # the second build replaces months of the fact
+        write_landing(landing_text(spark, sf_dir, country), f"{tmp_path}/landing", country)
+        build_warehouse(warehouse, f"{tmp_path}/landing", f"{tmp_path}/rates")
+    assert warehouse.read("consumption", fact.FACT_TABLE).count()
+    assert not set(scratch.rglob("*.parquet")) - before
+
+
+def test_only_sources_that_need_whole_days_are_dealt_by_day(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "LINES_A_FILE", 100)
+    for country in (INDIA, FRANCE):
+        text = landing_text(spark, sf_dir, country).coalesce(2)
+        queries._landing_of_days(spark, text, str(tmp_path), country)
+        sent = spark.read.format(country.file_format).option("header", True).load(f"{tmp_path}/{country.directory}")
+        assert sent.select(*sorted(text.columns)).exceptAll(text.select(*sorted(text.columns))).count() == 0
+        assert sent.count() == text.count()
+        placed = sent.withColumn("file", F.col("_metadata.file_path"))
+        if country is INDIA:
+            files = placed.groupBy("Order Date").agg(F.countDistinct("file").alias("n"))
+            assert files.agg(F.max("n")).first()[0] == 1
+        else:
+            assert placed.groupBy("file").count().agg(F.max("count")).first()[0] == 100
