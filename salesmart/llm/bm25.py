@@ -46,6 +46,9 @@ TOGETHER, PIVOTS = 64, 32
 #: Shards that are searched without thresholds of an earlier round, and the growth of the rounds.
 FIRST_SHARDS, ROUND_GROWTH = 256, 8
 QUERY_TERMS = 1_000_000
+#: A search has so many tasks a core at most: each returns up to k documents for every query, so
+#: with tasks by files their number would grow with the square of the input.
+SEARCH_TASKS = 3
 EVERY = 100
 
 
@@ -238,7 +241,7 @@ def search(
         F.sort_array(F.collect_list(F.struct("term", (idf * F.col("n")).alias("weight")))).alias("terms"))
         .withColumn("block", F.pmod("query", F.lit(blocks))), "queries")
     rounds = rounds_of(index.count(), first_shards)
-    found = None
+    tasks, found = SEARCH_TASKS * spark.sparkContext.defaultParallelism, None
     for block in range(blocks):
         part = QueryBlock(weighted.filter(F.col("block") == block).select("query_id", "query", "terms").toArrow())
         best = None
@@ -246,7 +249,7 @@ def search(
             if best is not None:
                 part.raise_to(best.filter(F.col("rank") == k).select("query_id", "query", "score").toArrow())
             held = spark.sparkContext.broadcast(part)
-            shards = index.filter((F.col("draw") >= low) & (F.col("draw") < high))
+            shards = index.filter((F.col("draw") >= low) & (F.col("draw") < high)).coalesce(tasks)
             hits = stage(shards.mapInArrow(searcher(held, mean_length, k), HITS), "hits")
             held.destroy()
             found = hits if found is None else found.union(hits)
